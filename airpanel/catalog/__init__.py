@@ -1,0 +1,4 @@
+"""Registered queries and their SQL twins."""
+
+from airpanel.catalog import timeseries  # noqa: F401
+from airpanel.catalog.base import ORACLES, QUERIES  # noqa: F401

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from airpanel.operators.dedupe import keep_by_order
 from airpanel.operators.quality import require_plain_name
@@ -46,6 +47,14 @@ def _load(spark: SparkSession, root: str, name: str, version: int) -> DataFrame
     return df
 
 
+def read_batch(
+    spark: SparkSession, root: str, name: str, version: int, batch: int, schema: StructType
+) -> DataFrame:
+    """The rows of one delivery, which may be none."""
+    path = f"{group_path(root, name, version)}/batch={int(batch)}"
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_feature_group(
     spark: SparkSession,
     root: str,
@@ -54,9 +63,13 @@ def read_feature_group(
     pk: tuple[str, ...] = (SERIES, HOUR),
     tail_days: int | None = None,
     event_time: str = "ts",
+    before_batch: int | None = None,
 ) -> DataFrame | None:
     """Current rows, or None for a group that has none yet.
 
+    ``before_batch`` leaves out that batch and later ones, so a batch that runs a
+    second time sees the same store as the first time.
+
     With ``tail_days``, rows of each series from that many days before its newest
     one. The months that can hold such rows are found first, from the two small
     columns, so the wide scan reads only their partitions.
@@ -64,6 +77,8 @@ def read_feature_group(
     df = _load(spark, root, name, version)
     if df is None:
         return None
+    if before_batch is not None:
+        df = df.filter(F.col("batch") < before_batch)
     if tail_days is not None:
         newest = df.groupBy(SERIES).agg(F.max(event_time).alias("_t"))
         oldest_needed = newest.agg(F.min("_t")).first()[0]

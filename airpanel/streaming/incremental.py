@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from airpanel.functions.timefn import hour_to_local, hour_to_utc
+from airpanel.functions.timefn import hour_to_utc
 from airpanel.operators.features import add_hourly_features
 from airpanel.operators.quality import freshness_gate, validate_features
 from airpanel.operators.relational import complete_cases, merge_keyed, newer_than, select_features
 from airpanel.operators.timegrid import grid_frame, hourly_mean
-from airpanel.schemas import HOUR, HOURLY_FEATURES, POLLUTANTS, SERIES
-from airpanel.sources.store import read_feature_group, write_feature_group
+from airpanel.schemas import FEATURE_LOOKBACK_HOURS, HOUR, HOURLY_FEATURES, POLLUTANTS, SERIES
+from airpanel.sources.store import read_batch, read_feature_group, write_feature_group
 
 HISTORY_DAYS = 14
 MAX_GAP_HOURS = 12
@@ -63,6 +63,24 @@ def affected_hours(observed: DataFrame, changed: DataFrame, lookback: int) -> Da
         F.max(F.coalesce(F.col("_next"), F.col(HOUR)) + lookback).alias("end_hr"))
 
 
+def rebuild_affected(observed: DataFrame, changed: DataFrame) -> DataFrame:
+    """Features of just the hours that changed readings can move.
+
+    The history starts at the newest fully measured hour that lies a whole
+    look-back before the first affected hour, so no window and no interpolation
+    sees a cut.
+    """
+    spans = affected_hours(observed, changed, FEATURE_LOOKBACK_HOURS)
+    starts = (complete_cases(observed, POLLUTANTS).join(spans, SERIES)
+              .filter(F.col(HOUR) <= F.col("start_hr") - FEATURE_LOOKBACK_HOURS)
+              .groupBy(SERIES).agg(F.max(HOUR).alias("_cut")))
+    history = (observed.join(starts, SERIES, "left")
+               .filter(F.col("_cut").isNull() | (F.col(HOUR) >= F.col("_cut"))))
+    return (rebuild_features(history, changed).join(spans, SERIES)
+            .filter(F.col(HOUR).between(F.col("start_hr"), F.col("end_hr")))
+            .drop("start_hr", "end_hr"))
+
+
 def incremental_update(
     readings: DataFrame,
     root: str,
@@ -80,11 +98,12 @@ def incremental_update(
     spark = readings.sparkSession
     incoming = hourly_mean(readings, mask="before_mean", time=time).withColumn(
         "ts", hour_to_utc(F.col(HOUR)))
-    stored = read_feature_group(spark, root, OBSERVED, version, tail_days=HISTORY_DAYS)
-    done = read_feature_group(spark, root, FEATURES, version, tail_days=HISTORY_DAYS)
+    tail = {"tail_days": HISTORY_DAYS, "before_batch": batch}
+    stored = read_feature_group(spark, root, OBSERVED, version, **tail)
+    done = read_feature_group(spark, root, FEATURES, version, **tail)
     if stored is None:
         accepted = incoming
-        history = incoming.limit(0)
+        stored = incoming.limit(0)
     else:
         first_hours = freshness_gate(
             incoming.groupBy(SERIES).agg(F.min("ts").alias("ts")), stored, MAX_GAP_HOURS)
@@ -94,16 +113,16 @@ def incremental_update(
             incoming.join(refused, SERIES, "left_semi"), root, QUARANTINE, version, batch)
         accepted = apply_late_policy(
             stored, incoming.join(refused, SERIES, "left_anti"), policy)
-        history = stored
     write_feature_group(accepted, root, OBSERVED, version, batch)
-    written = spark.read.parquet(
-        f"{root.rstrip('/')}/{OBSERVED}_v{version}/batch={batch}")
-    rebuilt = rebuild_features(
-        history.join(written.select(SERIES).distinct(), SERIES, "left_semi"), written)
+    written = read_batch(spark, root, OBSERVED, version, batch, incoming.schema)
+    touched = written.select(SERIES).distinct()
     if policy == "append_new":
+        rebuilt = rebuild_features(stored.join(touched, SERIES, "left_semi"), written)
         fresh = rebuilt if done is None else newer_than(rebuilt, done, time=HOUR)
     else:
-        fresh = rebuilt
+        everything = read_feature_group(spark, root, OBSERVED, version, before_batch=batch)
+        everything = stored if everything is None else everything
+        fresh = rebuild_affected(everything.join(touched, SERIES, "left_semi"), written)
     fresh = select_features(
         complete_cases(fresh, HOURLY_FEATURES), HOURLY_FEATURES, (SERIES, HOUR, "ts"))
     problems = validate_features(fresh, [SERIES, HOUR], text_ok=["ts"]).filter(
@@ -182,8 +201,3 @@ def heal_gaps(hourly: DataFrame, fill_limit: int = 3, max_gap: int = MAX_GAP_HOU
         F.when(F.col("_step") > max_gap, F.lit(0).cast("bigint"))
         .otherwise(F.least(F.col("gap_hours"), F.lit(fill_limit))).cast("bigint").alias("n_filled"))
 
-
-__all__ = [
-    "affected_hours", "apply_late_policy", "drain_to_table", "heal_gaps", "hour_to_local",
-    "incremental_update", "rebuild_features", "run_updates", "stream_dedupe", "stream_hourly_mean",
-]
