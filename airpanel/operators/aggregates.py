@@ -44,23 +44,23 @@ def describe(df: DataFrame, col: str, by: str = SERIES) -> DataFrame:
         return F.min(F.when(F.col("_upto") > rank, F.col("_v")))
 
     picks = []
-    for p in (0.25, 0.5, 0.75):
-        position = (F.col("_total") - 1) * p
-        picks += [at_rank(F.floor(position)).alias(f"_lo{p}"),
-                  at_rank(F.ceil(position)).alias(f"_hi{p}"),
-                  F.max(position - F.floor(position)).alias(f"_f{p}")]
+    for percent in (25, 50, 75):
+        position = (F.col("_total") - 1) * (percent / 100)
+        picks += [at_rank(F.floor(position)).alias(f"_lo{percent}"),
+                  at_rank(F.ceil(position)).alias(f"_hi{percent}"),
+                  F.max(position - F.floor(position)).alias(f"_f{percent}")]
     quartiles = ranked.groupBy(by).agg(*picks)
     moments = df.groupBy(by).agg(
         F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"))
 
-    def quartile(p):
-        low, high, part = F.col(f"_lo{p}"), F.col(f"_hi{p}"), F.col(f"_f{p}")
+    def quartile(percent):
+        low, high, part = (F.col(f"_{name}{percent}") for name in ("lo", "hi", "f"))
         return low + (high - low) * part
 
     return moments.join(quartiles, by, "left").select(
         by, "count", "mean", "std", "min",
-        quartile(0.25).alias("q25"), quartile(0.5).alias("q50"), quartile(0.75).alias("q75"), "max")
+        quartile(25).alias("q25"), quartile(50).alias("q50"), quartile(75).alias("q75"), "max")
 
 
 def null_profile(df: DataFrame, threshold_pct: float = 0.0, top: int | None = None) -> DataFrame:

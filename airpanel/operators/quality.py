@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,13 +12,25 @@ from airpanel.operators.aggregates import coverage, null_profile, regime_variabi
 from airpanel.operators.relational import latest_per_key
 from airpanel.schemas import SERIES
 
-_PROBLEMS = "check STRING, subject STRING, amount BIGINT"
+
+def _problems(spark: SparkSession, check: str, subjects: list[str]) -> DataFrame:
+    """One finding per subject, known while the plan is built."""
+    return spark.range(1).select(
+        F.lit(check).alias("check"),
+        F.explode(F.array(*[F.lit(s) for s in subjects])).alias("subject"),
+        F.lit(1).cast("bigint").alias("amount"))
+
+
+def _rows(df: DataFrame, names: list[str], rows: list[tuple[Column, ...]]) -> DataFrame:
+    """Several result rows out of each input row."""
+    structs = [F.struct(*[c.alias(n) for c, n in zip(row, names, strict=True)]) for row in rows]
+    return df.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 
 def name_checks(df: DataFrame) -> DataFrame:
     """Columns whose names are not lower-case letters, digits and underscores, or start with a digit."""
-    spark = df.sparkSession
-    names = spark.createDataFrame([(c,) for c in df.columns], "subject STRING")
+    names = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(c) for c in df.columns])).alias("subject"))
     rules = {
         "uppercase name": F.col("subject") != F.lower("subject"),
         "bad character in name": ~F.col("subject").rlike(r"^[\p{L}\p{N}_]*$"),
@@ -39,7 +51,7 @@ def validate_features(df: DataFrame, pk: list[str], text_ok: list[str] | None =
     spark = df.sparkSession
     missing = [c for c in pk if c not in df.columns]
     if missing:
-        return spark.createDataFrame([("missing key column", c, 1) for c in missing], _PROBLEMS)
+        return _problems(spark, "missing key column", missing)
     allowed = set(pk) | set(text_ok or [])
     wrong_type = [f.name for f in df.schema.fields
                   if f.name not in allowed
@@ -52,28 +64,27 @@ def validate_features(df: DataFrame, pk: list[str], text_ok: list[str] | None =
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.when(null_key, F.col("_n"))), F.lit(0)).alias("nulls"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("dups"))
-    found = totals.select(F.explode(F.array(
-        F.struct(F.lit("null key").alias("check"), F.lit(",".join(pk)).alias("subject"),
-                 F.col("nulls").alias("amount")),
-        F.struct(F.lit("duplicate key"), F.lit(",".join(pk)), F.col("dups")),
-        F.struct(F.lit("empty frame"), F.lit(""), (F.col("rows") == 0).cast("bigint")),
-    )).alias("p")).select("p.*").filter(F.col("amount") > 0)
+    key = ",".join(pk)
+    found = _rows(totals, ["check", "subject", "amount"], [
+        (F.lit("null key"), F.lit(key), F.col("nulls")),
+        (F.lit("duplicate key"), F.lit(key), F.col("dups")),
+        (F.lit("empty frame"), F.lit(""), (F.col("rows") == 0).cast("bigint")),
+    ]).filter(F.col("amount") > 0)
     problems = found.unionByName(name_checks(df))
     if wrong_type:
-        problems = problems.unionByName(
-            spark.createDataFrame([("non-numeric column", c, 1) for c in wrong_type], _PROBLEMS))
+        problems = problems.unionByName(_problems(spark, "non-numeric column", wrong_type))
     return problems
 
 
 def describe_frame(df: DataFrame, key: str = "ts", top: int = 6) -> DataFrame:
     """Row and column count, key range, and the columns with the most NULLs, as (item, detail) text."""
     shape = df.agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
-    head = shape.select(F.explode(F.array(
-        F.struct(F.lit("rows").alias("item"), F.col("n").cast("string").alias("detail")),
-        F.struct(F.lit("columns"), F.lit(str(len(df.columns)))),
-        F.struct(F.lit("first"), F.col("lo").cast("string")),
-        F.struct(F.lit("last"), F.col("hi").cast("string")),
-    )).alias("r")).select("r.*")
+    head = _rows(shape, ["item", "detail"], [
+        (F.lit("rows"), F.col("n").cast("string")),
+        (F.lit("columns"), F.lit(str(len(df.columns)))),
+        (F.lit("first"), F.col("lo").cast("string")),
+        (F.lit("last"), F.col("hi").cast("string")),
+    ])
     nulls = null_profile(df, top=top).select(
         F.concat(F.lit("nulls in "), "column_name").alias("item"),
         F.format_string("%.1f", F.col("null_pct")).alias("detail"))
