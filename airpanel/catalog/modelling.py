@@ -254,7 +254,7 @@ def m11(t: Tables) -> DataFrame:
 
 
 def _linear_metrics(t: Tables, model: str, horizons: list[int]) -> DataFrame:
-    rows = long_rows(t, horizons).persist()
+    rows = training_rows(hourly_features(t).persist(), horizons=horizons)
     fits = linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=(model,))
     return evaluate.fold_summary(training.linear_scores(
         rows, fits, FOLDS, MIN_TRAIN, HOURLY_FEATURES, (model,), HOUR,
@@ -324,7 +324,7 @@ def _final_models(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     features = hourly_features(t).persist()
     scores, fits = training.evaluate_hourly(features, training.HourlyConfig(
         cutoff=None, folds=FOLDS, min_train=MIN_TRAIN, linear_models=("ridge",)))
-    summary = evaluate.fold_summary(scores)
+    summary = evaluate.fold_summary(scores).persist()
     models = training.final_models(summary, training_rows(features), fits, CONFIG)
     return features, summary, models
 
@@ -397,9 +397,9 @@ fc AS (SELECT w.series_id, w.horizon, nw.ts + w.horizon * INTERVAL 1 HOUR AS ts,
 
 def _serve(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(forecast points, latest rows) from the baselines' winners."""
-    features = hourly_features(t)
+    features = hourly_features(t).persist()
     rows = training_rows(features)
-    summary = evaluate.cross_validate(rows, FOLDS, MIN_TRAIN)
+    summary = evaluate.cross_validate(rows, FOLDS, MIN_TRAIN).persist()
     folded = evaluate.expanding_folds(rows, FOLDS, MIN_TRAIN)
     k = evaluate.fit_reversion_k(folded, "aqi_minus_roll24").filter("fold = 0").drop("fold")
     models = evaluate.pick_winner(summary).select(*CELL, "model").join(k, CELL)

@@ -113,9 +113,27 @@ def _ratio(num: str, den: str) -> Column:
 
 
 def with_reversion_k(folded: DataFrame, deviation: str) -> DataFrame:
-    """Attach each fold's k to its test rows (one k per series, horizon and fold)."""
-    k = fit_reversion_k(folded, deviation).withColumnRenamed("fold", "block")
-    return folded.join(k, [*CELL, "block"], "left")
+    """Attach each fold's k to its test rows.
+
+    The training sums of a block are a range frame over the blocks before it, so
+    the rows are neither joined nor computed a second time.
+    """
+    x, y = -F.col(deviation), F.col("delta")
+    by_block = Window.partitionBy(*CELL).orderBy("block")
+    before = by_block.rangeBetween(Window.unboundedPreceding, -1)
+    sxy, sxx = F.sum(x * y).over(before), F.sum(x * x).over(before)
+    if "is_purged" in folded.columns:
+        older = by_block.rangeBetween(Window.unboundedPreceding, -2)
+        previous = by_block.rangeBetween(-1, -1)
+        kept = F.when(F.col("is_purged"), 0.0).otherwise(1.0)
+
+        def strict(term: Column) -> Column:
+            return (F.coalesce(F.sum(term).over(older), F.lit(0.0))
+                    + F.coalesce(F.sum(term * kept).over(previous), F.lit(0.0)))
+
+        sxy, sxx = strict(x * y), strict(x * x)
+    return (folded.withColumns({"_sxy": sxy, "_sxx": sxx})
+            .withColumn("k", _ratio("_sxy", "_sxx")).drop("_sxy", "_sxx"))
 
 
 def hourly_baselines() -> dict[str, Column]:
@@ -225,28 +243,33 @@ def pick_winner(metrics: DataFrame) -> DataFrame:
     return best.select(*CELL, *[F.col(f"_w.{c}").alias(c) for c in metrics.columns if c not in CELL])
 
 
+def _baseline_rmse(baseline: str) -> Column:
+    return F.min(F.when(F.col("model") == baseline, F.col("rmse")))
+
+
 def skill_table(metrics: DataFrame, baseline: str = "persistence") -> DataFrame:
     """Best candidate per series and horizon with the baseline's RMSE and the gain over it."""
-    real = candidate_rows(metrics)
-    base = real.groupBy(*CELL).agg(
-        F.min(F.when(F.col("model") == baseline, F.col("rmse"))).alias("baseline_rmse"))
-    return (pick_winner(real).join(base, CELL)
-            .withColumn("gain", gain_pct(F.col("baseline_rmse"), F.col("rmse"))))
+    with_base = candidate_rows(metrics).withColumn(
+        "baseline_rmse", _baseline_rmse(baseline).over(Window.partitionBy(*CELL)))
+    return pick_winner(with_base).withColumn(
+        "gain", gain_pct(F.col("baseline_rmse"), F.col("rmse")))
 
 
 def select_models(metrics: DataFrame, baseline: str = "persistence", mark: bool = False) -> DataFrame:
-    """Metrics with ``gain`` over the baseline; ``mark`` appends a WINNER row per horizon."""
-    base = metrics.filter(F.col("model") == baseline).select(
-        *CELL, F.col("rmse").alias("_base"))
-
-    def with_gain(df: DataFrame) -> DataFrame:
-        return (df.join(base, CELL, "left")
-                .withColumn("gain", gain_pct(F.col("_base"), F.col("rmse"))).drop("_base"))
+    """Winners with their ``gain``; with ``mark``, all metrics and a WINNER copy of the best row.
 
+    A window partition holds the candidates of one horizon, a handful of rows.
+    """
+    cell = Window.partitionBy(*CELL)
+    rank = F.struct("rmse", "model_order")
+    judged = metrics.withColumns({
+        "gain": gain_pct(_baseline_rmse(baseline).over(cell), F.col("rmse")),
+        "_is_best": rank == F.min(rank).over(cell)})
     if not mark:
-        return with_gain(pick_winner(metrics))
-    marked = pick_winner(metrics).withColumn("model", F.concat(F.lit(WINNER_PREFIX), "model"))
-    return with_gain(metrics.unionByName(marked))
+        return judged.filter("_is_best").drop("_is_best")
+    names = F.when(F.col("_is_best"), F.array(
+        F.col("model"), F.concat(F.lit(WINNER_PREFIX), "model"))).otherwise(F.array("model"))
+    return judged.withColumn("model", F.explode(names)).drop("_is_best")
 
 
 def registry_metrics(metrics: DataFrame) -> DataFrame:
@@ -288,8 +311,6 @@ def target_mode_compare(metrics_by_mode: Mapping[str, DataFrame]) -> DataFrame:
     both = parts[0]
     for part in parts[1:]:
         both = both.unionByName(part)
-    base = both.filter(F.col("model") == "persistence").select(
-        SERIES, "target_mode", F.col("curve_rmse").alias("_base"))
-    return (both.join(base, [SERIES, "target_mode"], "left")
-            .withColumn("margin_pct", gain_pct(F.col("_base"), F.col("curve_rmse")))
-            .drop("_base", "rank"))
+    cell = Window.partitionBy(SERIES, "target_mode")
+    base = F.min(F.when(F.col("model") == "persistence", F.col("curve_rmse"))).over(cell)
+    return both.withColumn("margin_pct", gain_pct(base, F.col("curve_rmse"))).drop("rank")

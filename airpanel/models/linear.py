@@ -24,15 +24,15 @@ RIDGE_ALPHAS = np.logspace(0, 4, 30)
 L1_RATIOS = [0.1, 0.5, 0.7, 0.9, 0.95, 1.0]
 N_NET_ALPHAS = 100
 NET_PATH_RATIO = 1e-3
-NET_TOLERANCE = 1e-4
-NET_MAX_SWEEPS = 2000
+NET_TOLERANCE = 1e-3
+NET_MAX_SWEEPS = 20_000
 
 _DIGIT = 8  # cells pack small integers, three bits each
 
 
 def inner_splits(n_train: Column, rows_per_split: int = 500) -> Column:
     """Inner folds for a training size: one per ``rows_per_split`` rows, from 3 to 5."""
-    return F.greatest(F.lit(3), F.least(F.lit(5), F.expr("1") * F.floor(n_train / rows_per_split)))
+    return F.greatest(F.lit(3), F.least(F.lit(5), F.floor(n_train / rows_per_split)))
 
 
 def add_cells(folded: DataFrame, k: int, rows_per_split: int = 500) -> DataFrame:
@@ -138,66 +138,86 @@ def _ridge_path(m: np.ndarray, alphas: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return weights, y_mean - weights @ x_mean
 
 
-def fit_ridge(moments: _Moments, alphas: np.ndarray = RIDGE_ALPHAS) -> tuple:
-    """Penalty by mean R2 over the inner splits, then a fit on everything."""
-    scores = []
-    for train, valid in moments.inner():
-        sse = _errors(valid, *_ridge_path(train, alphas))
-        spread = valid[-1, -1] - valid[0, -1] ** 2 / valid[0, 0]
-        scores.append(1 - sse / spread if spread > 0 else np.zeros(len(alphas)))
-    alpha = alphas[int(np.argmax(np.mean(scores, axis=0)))]
-    weights, intercepts = _ridge_path(moments.total, np.array([alpha]))
-    return float(alpha), None, weights[0], float(intercepts[0])
+def fit_ridge(training_sets: list[_Moments], alphas: np.ndarray = RIDGE_ALPHAS) -> list[tuple]:
+    """Penalty by mean R2 over the inner splits, then a fit on everything, per training set."""
+    fits = []
+    for moments in training_sets:
+        scores = []
+        for train, valid in moments.inner():
+            sse = _errors(valid, *_ridge_path(train, alphas))
+            spread = valid[-1, -1] - valid[0, -1] ** 2 / valid[0, 0]
+            scores.append(1 - sse / spread if spread > 0 else np.zeros(len(alphas)))
+        alpha = alphas[int(np.argmax(np.mean(scores, axis=0)))]
+        weights, intercepts = _ridge_path(moments.total, np.array([alpha]))
+        fits.append((float(alpha), None, weights[0], float(intercepts[0])))
+    return fits
 
 
-def _descend(gram, cross, l1, l2, start):
-    """Coordinate descent on many problems at once (leading axis), to a small relative change."""
+def _descend(gram: np.ndarray, cross: np.ndarray, l1, l2, start: np.ndarray) -> np.ndarray:
+    """Coordinate descent on many problems at once.
+
+    ``gram`` is (feature, problem, feature), ``cross`` and the weights (feature,
+    problem). A problem leaves the batch once a whole sweep changes its weights by
+    less than the tolerance relative to its largest weight.
+    """
     w = start.copy()
-    size = gram.shape[-1]
-    diagonal = np.einsum("bii->bi", gram)
+    live = np.arange(w.shape[1])
+    size = len(w)
     for _ in range(NET_MAX_SWEEPS):
-        largest = np.zeros(len(w))
+        g, c, v = gram[:, live], cross[:, live], w[:, live]
+        p1, p2 = l1[live], l2[live]
+        moved = np.zeros(len(live))
         for j in range(size):
-            old = w[:, j].copy()
-            pull = cross[:, j] - np.einsum("bi,bi->b", gram[:, j, :], w) + diagonal[:, j] * old
-            shrunk = np.sign(pull) * np.maximum(np.abs(pull) - l1, 0.0)
-            w[:, j] = shrunk / np.maximum(diagonal[:, j] + l2, 1e-300)
-            np.maximum(largest, np.abs(w[:, j] - old), out=largest)
-        if np.all(largest <= NET_TOLERANCE * np.maximum(np.abs(w).max(axis=1), 1e-12)):
+            own = g[j, :, j]
+            pull = c[j] - np.einsum("bi,ib->b", g[j], v) + own * v[j]
+            new = np.sign(pull) * np.maximum(np.abs(pull) - p1, 0.0) / np.maximum(own + p2, 1e-300)
+            np.maximum(moved, np.abs(new - v[j]), out=moved)
+            v[j] = new
+        w[:, live] = v
+        live = live[moved > NET_TOLERANCE * np.abs(v).max(axis=0)]
+        if len(live) == 0:
             break
     return w
 
 
-def fit_elastic_net(moments: _Moments) -> tuple:
-    """Mix and penalty by mean squared error over the inner splits, then a fit on everything."""
-    inner = moments.inner()
-    gram_all, cross_all, _, _ = _centred(moments.total)
+def fit_elastic_net(training_sets: list[_Moments]) -> list[tuple]:
+    """Mix and penalty by mean squared error over the inner splits, then a fit on everything.
+
+    The inner problems of all training sets and mixes go down the penalty path
+    side by side.
+    """
     ratios = np.array(L1_RATIOS)
-    peak = np.abs(cross_all).max() / moments.n
-    if peak <= 0:
-        weights = np.zeros(len(cross_all))
-        return 0.0, 1.0, weights, float(moments.total[0, -1] / moments.n)
-    paths = (peak / ratios)[:, None] * np.logspace(0, np.log10(NET_PATH_RATIO), N_NET_ALPHAS)
-    parts = [(_centred(train), train[0, 0], valid) for train, valid in inner]
-    gram = np.concatenate([np.repeat(p[0][0][None] / p[1], len(ratios), 0) for p in parts])
-    cross = np.concatenate([np.repeat(p[0][1][None] / p[1], len(ratios), 0) for p in parts])
+    whole = [_centred(m.total) for m in training_sets]
+    peaks = [np.abs(cross).max() / m.n for m, (_, cross, _, _) in zip(training_sets, whole, strict=True)]
+    shape = np.logspace(0, np.log10(NET_PATH_RATIO), N_NET_ALPHAS)
+    parts = [(i, _centred(train), train[0, 0], valid)
+             for i, m in enumerate(training_sets) for train, valid in m.inner()]
+    owner = np.repeat([i for i, *_ in parts], len(ratios))
     mix = np.tile(ratios, len(parts))
-    w = np.zeros((len(mix), len(cross_all)))
-    losses = np.zeros((len(ratios), N_NET_ALPHAS))
+    top = np.array(peaks)[owner] / mix
+    gram = np.repeat(np.stack([c[0] / n for _, c, n, _ in parts]), len(ratios), axis=0)
+    gram = np.ascontiguousarray(gram.transpose(1, 0, 2))
+    cross = np.repeat(np.stack([c[1] / n for _, c, n, _ in parts], axis=1), len(ratios), axis=1)
+    w = np.zeros_like(cross)
+    losses = np.zeros((len(training_sets), len(ratios), N_NET_ALPHAS))
     for a in range(N_NET_ALPHAS):
-        alpha = np.tile(paths[:, a], len(parts))
+        alpha = top * shape[a]
         w = _descend(gram, cross, alpha * mix, alpha * (1 - mix), w)
-        for i, ((_, _, x_mean, y_mean), _, valid) in enumerate(parts):
-            own = w[i * len(ratios):(i + 1) * len(ratios)]
-            losses[:, a] += _errors(valid, own, y_mean - own @ x_mean) / valid[0, 0] / len(parts)
-    r, a = np.unravel_index(int(np.argmin(losses)), losses.shape)
-    alpha, ratio = float(paths[r, a]), float(ratios[r])
-    _, _, x_mean, y_mean = _centred(moments.total)
+        for q, (i, (_, _, x_mean, y_mean), _, valid) in enumerate(parts):
+            own = w[:, q * len(ratios):(q + 1) * len(ratios)].T
+            losses[i, :, a] += _errors(valid, own, y_mean - own @ x_mean) / valid[0, 0]
+    counts = np.bincount([i for i, *_ in parts], minlength=len(training_sets))
+    best = [np.unravel_index(int(np.argmin(losses[i] / counts[i])), losses[i].shape)
+            for i in range(len(training_sets))]
+    chosen = np.array([ratios[r] for r, _ in best])
+    alphas = np.array([peaks[i] / ratios[r] * shape[a] for i, (r, a) in enumerate(best)])
     final = _descend(
-        gram_all[None] / moments.n, cross_all[None] / moments.n,
-        np.array([alpha * ratio]), np.array([alpha * (1 - ratio)]),
-        np.zeros((1, len(cross_all))))[0]
-    return alpha, ratio, final, float(y_mean - final @ x_mean)
+        np.ascontiguousarray(np.stack(
+            [c[0] / m.n for m, c in zip(training_sets, whole, strict=True)], axis=1)),
+        np.stack([c[1] / m.n for m, c in zip(training_sets, whole, strict=True)], axis=1),
+        alphas * chosen, alphas * (1 - chosen), np.zeros((len(cross), len(training_sets))))
+    return [(float(alphas[i]), float(chosen[i]), final[:, i],
+             float(whole[i][3] - final[:, i] @ whole[i][2])) for i in range(len(training_sets))]
 
 
 _FITS = {"ridge": fit_ridge, "elastic_net": fit_elastic_net}
@@ -230,7 +250,7 @@ def fit_linear(
         for cell, flat in zip(parts["cell"], parts["moments"], strict=True):
             block = np.asarray(flat, dtype=float).reshape(size, size)
             cells[cell] = cells[cell] + block if cell in cells else block
-        out = []
+        folds, sets = [], []
         for fold in range(k + 1):
             digit = fold if fold else k + 1
             by_inner: dict[int, np.ndarray] = {}
@@ -239,11 +259,13 @@ def fit_linear(
                 if inner:
                     by_inner[inner] = by_inner[inner] + m if inner in by_inner else m
             n_train = int(round(sum(m[0, 0] for m in by_inner.values())))
-            if n_train < min_train or len(by_inner) < 2:
-                continue
-            moments = _Moments(by_inner)
-            for name in models:
-                alpha, ratio, beta, intercept = _FITS[name](moments)
+            if n_train >= min_train and len(by_inner) > 1:
+                folds.append((fold, n_train))
+                sets.append(_Moments(by_inner))
+        out = []
+        for name in models if sets else ():
+            for (fold, n_train), moments, (alpha, ratio, beta, intercept) in zip(
+                    folds, sets, _FITS[name](sets), strict=True):
                 raw = beta / moments.scale
                 out.append((key[0], key[1], fold, name, n_train, alpha, ratio,
                             intercept - float(raw @ moments.mean), raw, beta))
