@@ -273,7 +273,10 @@ def fit_linear(
             SERIES, "horizon", "fold", "model", "n_train", "alpha", "l1_ratio",
             "intercept", "weights", "standardised"])
 
-    return partial.groupBy(*CELL).applyInPandas(solve, _COEFFICIENTS)
+    # Little data, much work per group: a fixed number of partitions keeps adaptive
+    # execution from merging all groups into one task.
+    tasks = int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return partial.repartition(tasks, *CELL).groupBy(*CELL).applyInPandas(solve, _COEFFICIENTS)
 
 
 def predict_linear(features: list[str], prefix: str = "") -> Column:
