@@ -8,6 +8,8 @@ key wins on read. That gives in-place updates without rewriting stored rows.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,10 +85,7 @@ def read_feature_group(
         newest = df.groupBy(SERIES).agg(F.max(event_time).alias("_t"))
         oldest_needed = newest.agg(F.min("_t")).first()[0]
         if oldest_needed is not None:
-            month = F.date_format(
-                F.lit(oldest_needed).cast("timestamp_ntz") - F.make_dt_interval(F.lit(tail_days)),
-                "yyyy-MM")
-            first_month = spark.range(1).select(month).first()[0]
+            first_month = (oldest_needed - timedelta(days=tail_days)).strftime("%Y-%m")
             df = df.filter(F.col("month").cast("string") >= first_month)
     current = keep_by_order(df.drop("month"), list(pk), F.col("batch")).drop("batch")
     return current if tail_days is None else tail_window(current, tail_days, event_time)

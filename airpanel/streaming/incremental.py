@@ -95,41 +95,70 @@ def incremental_update(
     until their gap is backfilled. Re-running a batch number replaces its own
     output and nothing else.
     """
-    spark = readings.sparkSession
     incoming = hourly_mean(readings, mask="before_mean", time=time).withColumn(
-        "ts", hour_to_utc(F.col(HOUR)))
-    tail = {"tail_days": HISTORY_DAYS, "before_batch": batch}
-    stored = read_feature_group(spark, root, OBSERVED, version, **tail)
-    done = read_feature_group(spark, root, FEATURES, version, **tail)
-    if stored is None:
-        accepted = incoming
-        stored = incoming.limit(0)
-    else:
+        "ts", hour_to_utc(F.col(HOUR))).persist()
+    fresh = None
+    try:
+        if incoming.isEmpty():
+            return
+        written = _store_observed(incoming, root, batch, version, policy)
+        fresh = _fresh_features(written, root, batch, version, policy).persist()
+        problems = validate_features(fresh, [SERIES, HOUR], text_ok=["ts"]).filter(
+            F.col("check") != "empty frame")
+        if not problems.isEmpty():
+            found = [r.asDict() for r in problems.limit(20).collect()]
+            raise ValueError(f"update refused: {found}")
+        write_feature_group(fresh, root, FEATURES, version, batch)
+    finally:
+        incoming.unpersist()
+        if fresh is not None:
+            fresh.unpersist()
+
+
+def _store_observed(
+    incoming: DataFrame, root: str, batch: int, version: int, policy: str
+) -> DataFrame:
+    """Gate and store new hourly means; returns what this batch stored."""
+    spark = incoming.sparkSession
+    stored = read_feature_group(
+        spark, root, OBSERVED, version, tail_days=HISTORY_DAYS, before_batch=batch)
+    accepted = incoming
+    if stored is not None:
         first_hours = freshness_gate(
             incoming.groupBy(SERIES).agg(F.min("ts").alias("ts")), stored, MAX_GAP_HOURS)
-        refused = first_hours.filter(~F.col("is_accepted")).select(SERIES)
-        # The refused rows keep their own time, so a backfill can replay them.
-        write_feature_group(
-            incoming.join(refused, SERIES, "left_semi"), root, QUARANTINE, version, batch)
-        accepted = apply_late_policy(
-            stored, incoming.join(refused, SERIES, "left_anti"), policy)
+        refused = first_hours.filter(~F.col("is_accepted")).select(SERIES).persist()
+        if not refused.isEmpty():
+            # The refused rows keep their own time, so a backfill can replay them.
+            write_feature_group(
+                incoming.join(refused, SERIES, "left_semi"), root, QUARANTINE, version, batch)
+            accepted = incoming.join(refused, SERIES, "left_anti")
+        refused.unpersist()
+        accepted = apply_late_policy(stored, accepted, policy)
     write_feature_group(accepted, root, OBSERVED, version, batch)
-    written = read_batch(spark, root, OBSERVED, version, batch, incoming.schema)
+    return read_batch(spark, root, OBSERVED, version, batch, incoming.schema)
+
+
+def _fresh_features(
+    written: DataFrame, root: str, batch: int, version: int, policy: str
+) -> DataFrame:
+    """Complete feature rows that the stored batch adds or changes."""
+    spark = written.sparkSession
     touched = written.select(SERIES).distinct()
+    tail = {"tail_days": HISTORY_DAYS, "before_batch": batch}
+    whole = {"before_batch": batch}
+    observed = read_feature_group(
+        spark, root, OBSERVED, version, **(tail if policy == "append_new" else whole))
+    history = (written.limit(0) if observed is None
+               else observed.join(touched, SERIES, "left_semi"))
     if policy == "append_new":
-        rebuilt = rebuild_features(stored.join(touched, SERIES, "left_semi"), written)
-        fresh = rebuilt if done is None else newer_than(rebuilt, done, time=HOUR)
+        fresh = rebuild_features(history, written)
+        done = read_feature_group(spark, root, FEATURES, version, **tail)
+        if done is not None:
+            fresh = newer_than(fresh, done, time=HOUR)
     else:
-        everything = read_feature_group(spark, root, OBSERVED, version, before_batch=batch)
-        everything = stored if everything is None else everything
-        fresh = rebuild_affected(everything.join(touched, SERIES, "left_semi"), written)
-    fresh = select_features(
+        fresh = rebuild_affected(history, written)
+    return select_features(
         complete_cases(fresh, HOURLY_FEATURES), HOURLY_FEATURES, (SERIES, HOUR, "ts"))
-    problems = validate_features(fresh, [SERIES, HOUR], text_ok=["ts"]).filter(
-        F.col("check") != "empty frame")
-    if not problems.isEmpty():
-        raise ValueError(f"update refused: {[r.asDict() for r in problems.limit(20).collect()]}")
-    write_feature_group(fresh, root, FEATURES, version, batch)
 
 
 def run_updates(stream: DataFrame, root: str, checkpoint: str, first_batch: int = 1, **options) -> None:
