@@ -9,16 +9,21 @@ of those 28 x 28 matrices, whatever the number of rows behind them.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airpanel.models.evaluate import CELL, expanding_folds
 from airpanel.schemas import HOUR, HOURLY_FEATURES, SERIES
 
+# Executors get the helpers below with the task, so they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Penalty grids of the two linear models.
 RIDGE_ALPHAS = np.logspace(0, 4, 30)
 L1_RATIOS = [0.1, 0.5, 0.7, 0.9, 0.95, 1.0]
@@ -61,22 +66,27 @@ def add_cells(folded: DataFrame, k: int, rows_per_split: int = 500) -> DataFrame
 
 
 def moment_rows(celled: DataFrame, features: list[str]) -> DataFrame:
-    """Partial moment matrices, one per Arrow batch, series, horizon and cell.
+    """Partial moment matrices (upper triangles), one per Arrow batch, series, horizon and cell.
 
     Map-side reduction: the rows themselves are never shuffled.
     """
     size = len(features) + 2
+    upper = np.triu_indices(size)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for (series, horizon, cell), rows in batch.groupby(
-                    [SERIES, "horizon", "cell"], sort=False):
-                z = np.ones((len(rows), size))
-                z[:, 1:-1] = rows[features].to_numpy(float)
-                z[:, -1] = rows["delta"].to_numpy(float)
-                out.append((series, horizon, cell, (z.T @ z).ravel()))
-            yield pd.DataFrame(out, columns=[SERIES, "horizon", "cell", "moments"])
+            if batch.empty:
+                continue
+            group = batch.groupby([SERIES, "horizon", "cell"], sort=False).ngroup().to_numpy()
+            order = np.argsort(group, kind="stable")
+            z = np.ones((len(batch), size))
+            z[:, 1:] = batch[[*features, "delta"]].to_numpy(float)[order]
+            starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+            ends = np.append(starts[1:], len(order))
+            out = batch[[SERIES, "horizon", "cell"]].iloc[order[starts]].reset_index(drop=True)
+            out["moments"] = [
+                (z[s:e].T @ z[s:e])[upper] for s, e in zip(starts, ends, strict=True)]
+            yield out
 
     slim = celled.select(
         SERIES, F.col("horizon").cast("int"), "cell",
@@ -244,11 +254,14 @@ def fit_linear(
     folded = expanding_folds(training, k, min_train, order)
     partial = moment_rows(add_cells(folded, k, rows_per_split), features)
     size = len(features) + 2
+    upper = np.triu_indices(size)
 
     def solve(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
         cells: dict[int, np.ndarray] = {}
         for cell, flat in zip(parts["cell"], parts["moments"], strict=True):
-            block = np.asarray(flat, dtype=float).reshape(size, size)
+            block = np.zeros((size, size))
+            block[upper] = flat
+            block += np.triu(block, 1).T
             cells[cell] = cells[cell] + block if cell in cells else block
         folds, sets = [], []
         for fold in range(k + 1):
