@@ -11,6 +11,7 @@ from airpanel.functions import timefn
 from airpanel.functions.aqi import aqi_category
 from airpanel.models.evaluate import fold_index
 from airpanel.operators import dedupe, features, timegrid
+from airpanel.operators.halo import drop_halo, split_with_halo
 from airpanel.operators.relational import drop_unparseable, observed_at
 from airpanel.schemas import DAILY_FEATURES, HOUR, HOURLY_FEATURES, POLLUTANTS, SERIES
 
@@ -349,6 +350,14 @@ def all_hourly_features(t: Tables) -> DataFrame:
     return hourly_features(t).select(SERIES, HOUR, "ts", *HOURLY_FEATURES)
 
 
+@query("hourly_features_by_halo", floats=" ".join(S.FLOAT_FEATURES), sql=f"""
+{_AQ}, {S.features()} SELECT series_id, hr, ts, {', '.join(S.FEATURES)} FROM ft""")
+def halo_features(t: Tables) -> DataFrame:
+    """The same table with every series cut into ten-day buckets."""
+    parts = features.add_hourly_features(split_with_halo(frame(t), width=240))
+    return drop_halo(parts).select(SERIES, HOUR, "ts", *HOURLY_FEATURES)
+
+
 @query("daily_features", floats=" ".join(S.DAILY_FEATURES), sql=f"""
 WITH {S.daily()} SELECT series_id, date, n_readings, {', '.join(S.DAILY_FEATURES)} FROM df""")
 def all_daily_features(t: Tables) -> DataFrame:

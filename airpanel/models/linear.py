@@ -164,16 +164,18 @@ def fit_ridge(training_sets: list[_Moments], alphas: np.ndarray = RIDGE_ALPHAS)
 
 
 def _descend(gram: np.ndarray, cross: np.ndarray, l1, l2, start: np.ndarray) -> np.ndarray:
-    """Coordinate descent on many problems at once.
+    """Coordinate descent on many problems at once, finished by exact solves.
 
     ``gram`` is (feature, problem, feature), ``cross`` and the weights (feature,
-    problem). A problem leaves the batch once a whole sweep changes its weights by
-    less than the tolerance relative to its largest weight.
+    problem). After every few sweeps each problem is solved exactly for its current
+    nonzero weights and signs; it leaves the batch when that solution meets the
+    optimality conditions, or when a sweep no longer moves its weights by more
+    than the tolerance relative to the largest.
     """
     w = start.copy()
     live = np.arange(w.shape[1])
     size = len(w)
-    for _ in range(NET_MAX_SWEEPS):
+    for sweep in range(1, NET_MAX_SWEEPS + 1):
         g, c, v = gram[:, live], cross[:, live], w[:, live]
         p1, p2 = l1[live], l2[live]
         moved = np.zeros(len(live))
@@ -183,13 +185,35 @@ def _descend(gram: np.ndarray, cross: np.ndarray, l1, l2, start: np.ndarray) ->
             new = np.sign(pull) * np.maximum(np.abs(pull) - p1, 0.0) / np.maximum(own + p2, 1e-300)
             np.maximum(moved, np.abs(new - v[j]), out=moved)
             v[j] = new
+        done = moved <= NET_TOLERANCE * np.abs(v).max(axis=0)
+        if sweep % 3 == 0:
+            exact, optimal = _solve_active(g, c, p1, p2, v)
+            v[:, optimal] = exact[:, optimal]
+            done |= optimal
         w[:, live] = v
-        live = live[moved > NET_TOLERANCE * np.abs(v).max(axis=0)]
+        live = live[~done]
         if len(live) == 0:
             break
     return w
 
 
+def _solve_active(g, c, l1, l2, v) -> tuple[np.ndarray, np.ndarray]:
+    """Exact minimisers for the present active sets, and which of them are optimal."""
+    active, signs = (v != 0).T, np.sign(v).T
+    full = g.transpose(1, 0, 2)
+    system = full * (active[:, :, None] & active[:, None, :])
+    diagonal = np.arange(len(v))
+    # The small term keeps exactly collinear features solvable.
+    system[:, diagonal, diagonal] += np.where(active, l2[:, None] + 1e-9, 1.0)
+    wanted = np.where(active, c.T - l1[:, None] * signs, 0.0)
+    solution = np.linalg.solve(system, wanted[:, :, None])[:, :, 0]
+    pull = np.abs(c.T - np.einsum("bij,bj->bi", full, solution))
+    slack = 1e-6 * np.abs(c).max(axis=0)[:, None]
+    same_signs = np.where(active, np.sign(solution) == signs, True).all(axis=1)
+    at_rest = np.where(active, True, pull <= l1[:, None] + slack).all(axis=1)
+    return solution.T, same_signs & at_rest
+
+
 def fit_elastic_net(training_sets: list[_Moments]) -> list[tuple]:
     """Mix and penalty by mean squared error over the inner splits, then a fit on everything.
 

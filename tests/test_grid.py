@@ -197,3 +197,19 @@ def test_merge_latest_and_required_columns(spark, rows):
 def test_observed_at_without_station_column(spark):
     df = spark.createDataFrame([("2026-01-01 00:00:00",), ("x",)], "fetched_at STRING")
     assert [r.observed_at is None for r in observed_at(df).collect()] == [False, True]
+
+
+def test_halo_buckets_give_the_same_features_and_targets(spark):
+    from airpanel.operators.halo import drop_halo, split_with_halo
+
+    grid = timegrid.grid_frame(panel(spark))
+    names = [*HOURLY_FEATURES, "target_1", "target_72", "delta_24"]
+
+    def run(df):
+        return features.delta_targets(features.add_hourly_features(df))
+
+    plain = as_map(run(grid), names)
+    halo = as_map(drop_halo(run(split_with_halo(grid, width=100))), names)
+    assert halo.keys() == plain.keys()
+    for key, row in plain.items():
+        assert halo[key] == pytest.approx(row), key
