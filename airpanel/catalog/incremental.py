@@ -58,11 +58,24 @@ def i3(t: Tables) -> DataFrame:
     return table.select(SERIES, hour_number(F.col("ts")).alias(HOUR), *POLLUTANTS)
 
 
-@query("i4_stream_dedupe", sql=f"""
-WITH {S.ev()} SELECT DISTINCT series_id, date_trunc('hour', observed_at) AS hour_utc FROM ev""")
+@query("i4_stream_dedupe", floats="pm25", sql=f"""
+WITH {S.ev()} SELECT series_id, hr, ingest_seq, is_backfilled, pm25 FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id, hr ORDER BY is_backfilled, ingest_seq DESC) AS pick
+  FROM ev) WHERE pick = 1""")
 def i4(t: Tables) -> DataFrame:
     root = t.folder("stream-dedupe")
-    unique = incremental.stream_dedupe(t.project(t.stream())).select(
+    stream = t.project(t.stream()).withColumn(HOUR, hour_number(F.col("observed_at")))
+    return incremental.stream_dedupe(
+        stream, f"{root}/table", f"{root}/checkpoint", [SERIES, HOUR]).select(
+        SERIES, HOUR, "ingest_seq", "is_backfilled", "pm25")
+
+
+@query("i4_stream_dedupe_within_watermark", sql=f"""
+WITH {S.ev()} SELECT DISTINCT series_id, date_trunc('hour', observed_at) AS hour_utc FROM ev""")
+def i4_watermark(t: Tables) -> DataFrame:
+    """The stateful form keeps an arbitrary delivery, so keys only."""
+    root = t.folder("stream-dedupe")
+    unique = incremental.stream_dedupe_within_watermark(t.project(t.stream())).select(
         SERIES, F.col("hour_utc").cast("timestamp_ntz").alias("hour_utc"))
     return incremental.drain_to_table(
         unique.withColumn("seen", F.lit(1)), f"{root}/table", f"{root}/checkpoint",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from airpanel.catalog import sqltext as S
 from airpanel.catalog.base import Tables, query
 from airpanel.functions import aqi, scalars
-from airpanel.operators.quality import name_checks
+from airpanel.operators.quality import validate_features
 from airpanel.operators.weather import derive_weather
 from airpanel.schemas import HOUR, SERIES
 from airpanel.functions.timefn import hour_number
@@ -183,15 +183,18 @@ def x11(t: Tables) -> DataFrame:
 
 
 @query("x12_name_checks", sql="""
-SELECT 'uppercase name' AS "check", 'Event Type' AS subject, 1::BIGINT AS amount
-UNION ALL SELECT 'bad character in name', 'Event Type', 1::BIGINT
-UNION ALL SELECT 'name starts with digit', '24h_value', 1::BIGINT
-UNION ALL SELECT 'bad character in name', 'props.k', 1::BIGINT""")
+SELECT 'duplicate key' AS "check", 'user_id' AS subject,
+  CAST(count(*) - count(DISTINCT user_id) AS BIGINT) AS amount FROM events
+UNION ALL SELECT c, s, 1::BIGINT FROM (VALUES
+  ('uppercase name', 'Event Type'), ('bad character in name', 'Event Type'),
+  ('name starts with digit', '24h_value'), ('bad character in name', 'props.k'),
+  ('non-numeric column', 'Event Type'), ('non-numeric column', 'props.k'),
+  ('non-numeric column', 'ts')) v(c, s)""")
 def x12(t: Tables) -> DataFrame:
-    """Schema check: it reads column names only, of a projection of the events."""
-    return name_checks(t.events().select(
-        "event_id", F.col("event_type").alias("Event Type"), F.col("value").alias("24h_value"),
-        F.col("props").alias("props.k"), "ts"))
+    """Name checks as part of the gate over all events, under names a store would refuse."""
+    return validate_features(t.events().select(
+        "user_id", F.col("event_type").alias("Event Type"), F.col("value").alias("24h_value"),
+        F.col("props").alias("props.k"), "ts"), ["user_id"])
 
 
 @query("x13_json_access", floats="k missing_number", sql="""

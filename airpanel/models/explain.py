@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from airpanel.models.evaluate import CELL
 from airpanel.models.trees import predict_trees
-from airpanel.schemas import HOUR, SERIES
+from airpanel.schemas import HOUR
 
 
 def linear_attribution(rows: DataFrame, coefficients: DataFrame, features: list[str]) -> DataFrame:
@@ -64,12 +64,11 @@ def permutation_importance(
     error = (F.col("_p") - F.col("_label")) ** 2
     losses = predict_trees(model, swapped, features, "_p").groupBy("swapped").agg(
         F.avg(error).alias("_mse"))
-    base = losses.filter(F.col("swapped") == "").select(F.col("_mse").alias("_base"))
-    return (losses.filter(F.col("swapped") != "").crossJoin(base)
-            .select(F.col("swapped").alias("feature"), (F.col("_mse") - F.col("_base")).alias("increase")))
-
-
-__all__ = [
-    "SERIES", "linear_attribution", "mean_abs_attribution", "permutation_importance",
-    "response_linearity",
-]
+    # One row per feature by now: gather them beside the unswapped error.
+    table = losses.agg(
+        F.max(F.when(F.col("swapped") == "", F.col("_mse"))).alias("_base"),
+        F.collect_list(F.struct("swapped", "_mse")).alias("_all"))
+    return (table.select("_base", F.explode("_all").alias("_l"))
+            .filter(F.col("_l.swapped") != "")
+            .select(F.col("_l.swapped").alias("feature"),
+                    (F.col("_l._mse") - F.col("_base")).alias("increase")))

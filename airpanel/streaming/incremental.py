@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airpanel.functions.timefn import hour_to_utc
+from airpanel.operators.dedupe import dedupe_hour_prefer_live, keep_by_order
 from airpanel.operators.features import add_hourly_features
 from airpanel.operators.quality import freshness_gate, validate_features
 from airpanel.operators.relational import complete_cases, merge_keyed, newer_than, select_features
@@ -182,10 +183,26 @@ def stream_hourly_mean(
             .select(SERIES, F.col("_w.start").alias("ts"), *cols))
 
 
-def stream_dedupe(
+def stream_dedupe(stream: DataFrame, path: str, checkpoint: str, keys: list[str]) -> DataFrame:
+    """Drain a stream to one row per key: live beats backfilled, then the last ingested.
+
+    Each micro-batch is reduced before it is shuffled or stored, and the choice is
+    the same over batches as within one, so re-deliveries in any order are harmless.
+    """
+    def write(df: DataFrame, n: int) -> None:
+        dedupe_hour_prefer_live(df, keys).write.mode("overwrite").parquet(f"{path}/batch={n}")
+
+    (stream.writeStream.foreachBatch(write)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True)
+     .start().awaitTermination())
+    landed = stream.sparkSession.read.parquet(path).drop("batch")
+    return dedupe_hour_prefer_live(landed, keys)
+
+
+def stream_dedupe_within_watermark(
     stream: DataFrame, watermark: str = "2 hours", time: str = "observed_at"
 ) -> DataFrame:
-    """Readings with re-deliveries of a (series, hour) dropped within the watermark."""
+    """The stateful form for continuous consumers: re-deliveries within the watermark are dropped."""
     return (stream.withColumn("_t", F.date_trunc("hour", F.col(time).cast("timestamp")))
             .withWatermark("_t", watermark)
             .dropDuplicatesWithinWatermark([SERIES, "_t"])
@@ -200,8 +217,6 @@ def drain_to_table(
     In update mode a group is emitted again whenever it changes, so the table is
     complete at the end of the stream without waiting for the watermark.
     """
-    from airpanel.operators.dedupe import keep_by_order
-
     def write(df: DataFrame, n: int) -> None:
         df.write.mode("overwrite").parquet(f"{path}/batch={n}")
 
