@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from airpanel.llm.exact import exact_groups
+from airpanel.llm.mixing import mixed
+from airpanel.llm.quality import RULES, STOP_WORDS, quality
 from airpanel.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +45,61 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, found by chunk recipes."""
     return exact_groups(_table(spark, sf_dir, "documents"))
+
+
+@_query("op5_mix_sources", rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+             [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM d GROUP BY 1),
+r AS (SELECT *, source_size * 2.0::DOUBLE AS cap, 1.5::DOUBLE * sum(source_size) OVER () AS words, sum(w) OVER () AS weights,
+             coalesce(sum(source_size * 2.0::DOUBLE) OVER o, 0) AS cap_before, coalesce(sum(w) OVER o, 0) AS w_before FROM s
+      WINDOW o AS (ORDER BY source_size * 2.0::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, (words - cap_before) * w >= (weights - w_before) * cap AS is_full FROM r),
+t AS (SELECT source, source_size, CASE WHEN is_full THEN cap ELSE
+             w * (words - coalesce(sum(cap) FILTER (is_full) OVER (), 0)) / (sum(w) FILTER (NOT is_full) OVER ()) END::DOUBLE AS target,
+             ('0x' || substr(md5('mix' || CASE WHEN source IS NULL THEN 'n' ELSE 's' END || coalesce(source, '')), 1, 8))::BIGINT
+               / 4294967296.0::DOUBLE AS u FROM f),
+n AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.u,
+             CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+             row_number() OVER (PARTITION BY d.source ORDER BY d.size,
+               ('0x' || substr(md5('c' || coalesce(d.doc_id::VARCHAR, '')), 1, 2))::BIGINT, d.doc_id) AS i
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, (size * (floor(i * rate + u) - floor((i - 1) * rate + u)))::BIGINT AS taken FROM n
+""")
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words each document adds to the mix of its source."""
+    taken = F.col("size") * F.col("copies")
+    return mixed(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_RATIO = {
+    "words": "n_words::DOUBLE",
+    "chars_per_word": "CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END",
+    "symbols_per_word": "CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END",
+    "stop_words_per_word": "CASE WHEN n_words > 0 THEN n_stop_words / n_words ELSE 0 END",
+    "repeated_lines": "CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END",
+    "repeated_words": "CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END",
+}
+_WITHIN = " AND ".join(f"({_RATIO[n]} BETWEEN {a} AND {'1e300' if b == float('inf') else b})" for n, a, b in RULES)
+
+
+@_query("op8_quality_rules", rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+a AS (SELECT *, regexp_extract_all(text, '{WORD}') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+w AS (SELECT rid, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM a),
+v AS (SELECT rid, i, w, lead(w) OVER p AS w2, lead(w, 2) OVER p AS w3 FROM w WINDOW p AS (PARTITION BY rid ORDER BY i)),
+c AS (SELECT rid, i FROM v WHERE w3 IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rid, w, w2, w3) > 1),
+k AS (SELECT rid, count(DISTINCT i + o) AS n_repeat_words FROM c, (VALUES (0), (1), (2)) x(o) GROUP BY 1),
+m AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+             (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             len(lines) AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+             len(list_filter(words, lambda x: lower(x) IN ({_STOP}))) AS n_stop_words,
+             coalesce(n_repeat_words, 0) AS n_repeat_words FROM a LEFT JOIN k USING (rid))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND {_WITHIN} AS kept FROM m
+""")
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality(_table(spark, sf_dir, "documents"))
