@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from airpanel.llm.exact import exact_groups
 from airpanel.llm.mixing import mixed
 from airpanel.llm.quality import RULES, STOP_WORDS, quality
+from airpanel.llm.secrets import secrets
+from airpanel.llm.warc import archive_folder, read_warc, write_warc
 from airpanel.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +105,23 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality(_table(spark, sf_dir, "documents"))
+
+
+@_query("op4_secret_scan")
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets(_table(spark, sf_dir, "documents"))
+
+
+@_query("op10_warc", """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY 1 HAVING count(*) > 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NOT NULL AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest)
+""")
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    manifest = write_warc(_table(spark, sf_dir, "pages"), archive_folder(spark))
+    return read_warc(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
