@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from airpanel.llm.exact import exact_groups
 from airpanel.llm.mixing import mixed
+from airpanel.llm.near import near_duplicates
 from airpanel.llm.quality import RULES, STOP_WORDS, quality
 from airpanel.llm.secrets import secrets
 from airpanel.llm.warc import archive_folder, read_warc, write_warc
@@ -125,3 +126,9 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives and read back."""
     manifest = write_warc(_table(spark, sf_dir, "pages"), archive_folder(spark))
     return read_warc(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op3_near_dedup")
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies: three-word shingles, similarity of 0.85 or more."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), words=3, num=85, den=100)
