@@ -12,6 +12,7 @@ from airpanel.llm.mixing import mixed
 from airpanel.llm.near import near_duplicates
 from airpanel.llm.quality import RULES, STOP_WORDS, quality
 from airpanel.llm.secrets import secrets
+from airpanel.llm.toxicity import toxicity
 from airpanel.llm.warc import archive_folder, read_warc, write_warc
 from airpanel.session import configure
 
@@ -132,3 +133,9 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies: three-word shingles, similarity of 0.85 or more."""
     return near_duplicates(_table(spark, sf_dir, "documents"), words=3, num=85, den=100)
+
+
+@_query("op6_toxicity")
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document; the model is fitted on labels outside fold 0."""
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
