@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from airpanel.llm.exact import exact_groups
 from airpanel.llm.mixing import mixed
 from airpanel.llm.near import near_duplicates
+from airpanel.llm.pieces import encoding_report
 from airpanel.llm.quality import RULES, STOP_WORDS, quality
 from airpanel.llm.secrets import secrets
 from airpanel.llm.toxicity import toxicity
@@ -139,3 +140,9 @@ def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; the model is fitted on labels outside fold 0."""
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op9_sentencepiece")
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded."""
+    return encoding_report(_table(spark, sf_dir, "documents"))
