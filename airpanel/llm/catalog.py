@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airpanel.llm.exact import exact_groups
+from airpanel.llm import language
 from airpanel.llm.mixing import mixed
 from airpanel.llm.near import near_duplicates
 from airpanel.llm.pieces import encoding_report
 from airpanel.llm.quality import RULES, STOP_WORDS, quality
 from airpanel.llm.secrets import secrets
+from airpanel.llm.toolcalls import ANSWER, from_conversations, linked
 from airpanel.llm.toxicity import toxicity
 from airpanel.llm.warc import archive_folder, read_warc, write_warc
 from airpanel.session import configure
@@ -146,3 +148,17 @@ def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
     return encoding_report(_table(spark, sf_dir, "documents"))
+
+
+@_query("op2_language_id")
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page and of every document."""
+    docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
+    rows = language.from_pages(pages).unionByName(language.from_documents(docs))
+    return language.identify(rows, language.fit(docs))
+
+
+@_query("op7_chat_format")
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn as canonical JSON; a user's turn is a call that the next assistant turn answers."""
+    return linked(*from_conversations(_table(spark, sf_dir, "conversations")), ANSWER)
