@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airpanel.llm.batches import by_value, flat, list_array, slices, text_or_empty
 
@@ -339,7 +340,7 @@ def _checked(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Itera
 def encode(docs: DataFrame, text: str = "text", to: str = "ids", model_file: str = MODEL, drop_text: bool = False) -> DataFrame:
     """``docs`` with the ids of a text column, as array<int>."""
     kept = [c for c in docs.columns if c != to and not (drop_text and c == text)]
-    schema = docs.select(*kept).schema.add(to, "array<int>")
+    schema = docs.select(*kept).schema.add(to, T.ArrayType(T.IntegerType()))
     return docs.select(*kept, text_or_empty(text).alias("__text")).mapInArrow(
         partial(_encoded, vocabulary=load(model_file), name=to), schema)
 
@@ -347,7 +348,7 @@ def encode(docs: DataFrame, text: str = "text", to: str = "ids", model_file: str
 def decode(docs: DataFrame, ids: str = "ids", to: str = "text", model_file: str = MODEL) -> DataFrame:
     """``docs`` with the text of an id column."""
     kept = [c for c in docs.columns if c != to]
-    schema = docs.select(*kept).schema.add(to, "string")
+    schema = docs.select(*kept).schema.add(to, T.StringType())
     return docs.select(*kept, F.col(ids).cast("array<int>").alias("__ids")).mapInArrow(
         partial(_decoded, vocabulary=load(model_file), name=to), schema)
 
