@@ -28,6 +28,17 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, lengthened until no column of ``df`` has them."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` written to the shared work folder and read again, which cuts the lineage."""
     spark: SparkSession = df.sparkSession

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airpanel.llm.batches import by_value, flat, list_array, slices, stored, text_or_empty
+from airpanel.llm.batches import by_value, flat, list_array, slices, stored, text_or_empty, unused
 
 by_value(__name__)
 
@@ -107,7 +107,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Re
         row = np.searchsorted(offsets, starts, side="right") - 1
         shas = _shas(view, offsets)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").take(pa.array(row)), pa.array([shas[r] for r in row], pa.string()), pa.array(starts),
+            [batch.column("doc_id").take(pa.array(row)), pa.array([shas[r] for r in row], pa.string()), pa.array(starts - offsets[row]),
              pa.array(digests, pa.int64()),
              pa.array([bytes(view[a:b]) for a, b in zip(starts.tolist(), ends.tolist())], pa.binary())],
             names=["doc_id", "text_sha256", "place", "digest", "content"])
@@ -165,11 +165,10 @@ def exact_groups(docs: DataFrame, bits: int = 64) -> DataFrame:
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: of equal texts, one row with the smallest doc_id; all columns as they are."""
-    stay = exact_groups(docs).where("kept").select("doc_id", "text_sha256").distinct()
-    keys = ["__id", "__sha"]
-    stay = stay.select(F.col("doc_id").alias(keys[0]), F.col("text_sha256").alias(keys[1]))
-    spaced = F.regexp_replace(text_or_empty(), "[\\x20\\x09-\\x0D]+", " ")
-    marked = docs.withColumns({"__own": F.col("doc_id").cast("long"), "__own_sha": F.sha2(spaced, 256)})
-    joined = marked.join(stay, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__own_sha") == F.col("__sha")))
-    first = Window.partitionBy("__own", "__own_sha").orderBy("__own_sha")
-    return joined.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*[docs[c] for c in docs.columns])
+    own, nth = unused(docs, "own_key", "nth")
+    keys = F.struct("doc_id", "text_sha256").alias(own)
+    stay = exact_groups(docs).where("kept").select(keys).distinct()
+    sha = F.sha2(F.regexp_replace(text_or_empty(), r"[\x20\x09-\x0D]+", " ").cast("binary"), 256)
+    marked = docs.withColumn(own, F.struct(F.col("doc_id").cast("long").alias("doc_id"), sha.alias("text_sha256")))
+    first = Window.partitionBy(own).orderBy(own)
+    return marked.join(stay, own).withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).select(*docs.columns)

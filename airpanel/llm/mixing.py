@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airpanel.llm.batches import stored, text_or_empty
+from airpanel.llm.batches import stored, text_or_empty, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -89,13 +89,12 @@ def mixed(docs: DataFrame, seed: str = "mix", share: float = 1.5, most: float =
 
 def mix_sources(docs: DataFrame, seed: str = "mix", share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; all columns as they are."""
-    key = F.struct(F.col("doc_id").alias("a"), F.col("source").cast("string").alias("b"), F.col("size").alias("c"))
-    plan = (mixed(docs, seed, share, most).withColumn("__key", key)
-            .groupBy("__key").agg(F.sort_array(F.collect_list("copies")).alias("__copies")))
+    own_key, copies, nth, again = unused(docs, "own_key", "copies", "nth", "again")
+    key = F.struct(F.col("doc_id").alias("a"), F.col("source").alias("b"), F.col("size").alias("c"))
+    plan = (mixed(docs, seed, share, most).groupBy(key.alias(own_key))
+            .agg(F.sort_array(F.collect_list("copies")).alias(copies)))  # one entry but for rows with the same id
     own = F.struct(F.col("doc_id").alias("a"), F.col("source").cast("string").alias("b"), n_words().alias("c"))
-    same = Window.partitionBy("__key").orderBy("__key")
-    return (docs.withColumn("__key", own).join(plan, "__key")
-            .withColumn("__nth", F.row_number().over(same))
-            .withColumn("__take", F.element_at("__copies", F.col("__nth")).cast("int"))
-            .withColumn("__again", F.explode(F.array_repeat(F.lit(0), F.col("__take"))))
-            .select(*docs.columns))
+    same = Window.partitionBy(own_key).orderBy(own_key)
+    times = F.array_repeat(F.lit(0), F.element_at(copies, F.col(nth)).cast("int"))
+    return (docs.withColumn(own_key, own).join(plan, own_key).withColumn(nth, F.row_number().over(same))
+            .withColumn(again, F.explode(times)).select(*docs.columns))

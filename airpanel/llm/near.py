@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airpanel.llm.batches import by_value, flat, list_array, slices, stored, text_or_empty
+from airpanel.llm.batches import by_value, flat, list_array, slices, stored, text_or_empty, unused
 from airpanel.llm.components import components
 
 by_value(__name__)
@@ -265,12 +265,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
 
 def drop_near_copies(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that stay: one per group of near copies, that with the smallest doc_id; all columns as they are."""
+    own_key, nth = unused(docs, "own_key", "nth")
     stay = (_grouped(docs, words, num, den).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.struct("doc_id", "text_key").alias("__key"), "component_id", F.col("n_shingles").alias("__n")))
+            .select(F.struct("doc_id", "text_key").alias("key"), "component_id", "n_shingles"))
     # A repeated id may bring several texts into one group: one of them, or every text without words, is kept.
-    best = Window.partitionBy("component_id").orderBy("__key")
-    stay = stay.withColumn("__nth", F.row_number().over(best)).where("__nth = 1 OR __n = 0").select("__key").distinct()
+    best = Window.partitionBy("component_id").orderBy(F.col("n_shingles") == 0, "key")
+    stay = (stay.withColumn("first", F.row_number().over(best)).where("first = 1 OR n_shingles = 0")
+            .select(F.col("key").alias(own_key)).distinct())
     own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_key"))
-    again = Window.partitionBy("__key").orderBy("__key")
-    return (docs.withColumn("__key", own).join(stay, "__key").withColumn("__nth", F.row_number().over(again))
-            .where("__nth = 1").select(*docs.columns))
+    again = Window.partitionBy(own_key).orderBy(own_key)
+    return (docs.withColumn(own_key, own).join(stay, own_key).withColumn(nth, F.row_number().over(again))
+            .where(F.col(nth) == 1).select(*docs.columns))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airpanel.llm.batches import by_value, flat, list_array, slices, text_or_empty
+from airpanel.llm.batches import by_value, flat, list_array, slices, text_or_empty, unused
 
 by_value(__name__)
 
@@ -304,23 +304,23 @@ def decode_batch(ids: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -
     return body[keep], np.concatenate([[0], np.cumsum(keep)])[at]
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, name: str) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "__text", SLICE):
-        ids, offsets = encode_batch(batch.column("__text"), vocabulary)
-        kept = [c for c in batch.schema.names if c != "__text"]
+def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, source: str, name: str) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, source, SLICE):
+        ids, offsets = encode_batch(batch.column(source), vocabulary)
+        kept = [c for c in batch.schema.names if c != source]
         yield pa.RecordBatch.from_arrays(
             [batch.column(c) for c in kept] + [list_array(pa.array(ids), offsets)], names=[*kept, name])
 
 
-def _decoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, name: str) -> Iterator[pa.RecordBatch]:
+def _decoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, source: str, name: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        column = batch.column("__ids").fill_null([])
+        column = batch.column(source)
         ids = np.asarray(column.flatten()).astype(np.int64)
         offsets = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(column)))]).astype(np.int64)
         body, at = decode_batch(ids, offsets, vocabulary)
         raw = body.tobytes()
         texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-        kept = [c for c in batch.schema.names if c != "__ids"]
+        kept = [c for c in batch.schema.names if c != source]
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(texts, pa.string())], names=[*kept, name])
 
 
@@ -341,16 +341,19 @@ def encode(docs: DataFrame, text: str = "text", to: str = "ids", model_file: str
     """``docs`` with the ids of a text column, as array<int>."""
     kept = [c for c in docs.columns if c != to and not (drop_text and c == text)]
     schema = docs.select(*kept).schema.add(to, T.ArrayType(T.IntegerType()))
-    return docs.select(*kept, text_or_empty(text).alias("__text")).mapInArrow(
-        partial(_encoded, vocabulary=load(model_file), name=to), schema)
+    (source,) = unused(docs, "own_text")
+    return docs.select(*kept, text_or_empty(text).alias(source)).mapInArrow(
+        partial(_encoded, vocabulary=load(model_file), source=source, name=to), schema)
 
 
 def decode(docs: DataFrame, ids: str = "ids", to: str = "text", model_file: str = MODEL) -> DataFrame:
     """``docs`` with the text of an id column."""
     kept = [c for c in docs.columns if c != to]
     schema = docs.select(*kept).schema.add(to, T.StringType())
-    return docs.select(*kept, F.col(ids).cast("array<int>").alias("__ids")).mapInArrow(
-        partial(_decoded, vocabulary=load(model_file), name=to), schema)
+    (source,) = unused(docs, "own_ids")
+    some = F.coalesce(F.col(ids).cast("array<int>"), F.array().cast("array<int>"))
+    return docs.select(*kept, some.alias(source)).mapInArrow(
+        partial(_decoded, vocabulary=load(model_file), source=source, name=to), schema)
 
 
 def encoding_report(docs: DataFrame, model_file: str = MODEL) -> DataFrame:

@@ -39,7 +39,7 @@ CONTEXT = re.compile(
 CONTEXT_CHARS = 64       # how far before a token a sensitive word may begin
 AROUND_CHARS = 400       # text on each side of a token that may explain it
 NOVEL_CHARS = 16         # shortest token that is measured
-BITS_PER_CHAR = 3.2      # marginal bits per character from which a token is novel
+BITS_PER_CHAR = 4.0      # marginal bits per character from which a token is novel
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % NOVEL_CHARS)
 
 # Identifiers that code and prose about code are made of.

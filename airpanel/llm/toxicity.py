@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airpanel.llm.batches import by_value, slices, text_or_empty
+from airpanel.llm.batches import by_value, slices, text_or_empty, unused
 from airpanel.llm.sampling import fold, labelled_ids
 
 by_value(__name__)
@@ -145,9 +145,9 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
 
-def _clean(batches: Iterator[pa.RecordBatch], model: Model, limit: float) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "__text"):
-        scores = [score(words_of(text), model) for text in batch.column("__text").to_pylist()]
+def _clean(batches: Iterator[pa.RecordBatch], model: Model, limit: float, name: str) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, name):
+        scores = [score(words_of(text), model) for text in batch.column(name).to_pylist()]
         kept = batch.filter(pa.array([s < limit for s in scores]))
         yield pa.RecordBatch.from_arrays(kept.columns[:-1], schema=pa.schema(list(kept.schema)[:-1]))
 
@@ -249,5 +249,6 @@ def toxic_passages(docs: DataFrame, model: Model) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` with a score below ``limit``; all columns as they are."""
-    return docs.withColumn("__text", text_or_empty()).mapInArrow(
-        partial(_clean, model=fit(docs, labels), limit=limit), docs.schema)
+    (name,) = unused(docs, "own_text")
+    return docs.withColumn(name, text_or_empty()).mapInArrow(
+        partial(_clean, model=fit(docs, labels), limit=limit, name=name), docs.schema)
