@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airpanel.catalog import sqltext as S
@@ -53,9 +53,26 @@ def i2(t: Tables) -> DataFrame:
 WITH {S.ev()}, {S.means()} SELECT * FROM hm""")
 def i3(t: Tables) -> DataFrame:
     root = t.folder("stream-mean")
-    means = incremental.stream_hourly_mean(t.project(t.stream()), POLLUTANTS)
-    table = incremental.drain_to_table(means, f"{root}/table", f"{root}/checkpoint", [SERIES, "ts"])
-    return table.select(SERIES, hour_number(F.col("ts")).alias(HOUR), *POLLUTANTS)
+    means = incremental.stream_hourly_mean(
+        t.project(t.stream()), POLLUTANTS, f"{root}/table", f"{root}/checkpoint")
+    return means.select(SERIES, hour_number(F.col("ts")).alias(HOUR), *POLLUTANTS)
+
+
+@query("i3_stream_hourly_mean_late_files", floats=" ".join(POLLUTANTS), sql=f"""
+WITH {S.ev()}, {S.means()} SELECT * FROM hm""")
+def i3_late(t: Tables) -> DataFrame:
+    """The readings as five files, the oldest last, one micro-batch each: no hour is lost."""
+    root = t.folder("stream-late")
+    cut = F.ntile(5).over(Window.partitionBy(F.lit(1)).orderBy(F.col("day").desc()))
+    days = t.events().select(F.to_date("ts").alias("day")).distinct().withColumn("part", cut)
+    staged = t.events().withColumn("day", F.to_date("ts")).join(days, "day").drop("day")
+    for part in range(1, 6):
+        staged.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{root}/landed")
+    stream = (t.spark.readStream.schema(t.events().schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{root}/landed"))
+    means = incremental.stream_hourly_mean(
+        t.project(stream), POLLUTANTS, f"{root}/table", f"{root}/checkpoint")
+    return means.select(SERIES, hour_number(F.col("ts")).alias(HOUR), *POLLUTANTS)
 
 
 @query("i4_stream_dedupe", floats="pm25", sql=f"""
@@ -77,9 +94,13 @@ def i4_watermark(t: Tables) -> DataFrame:
     root = t.folder("stream-dedupe")
     unique = incremental.stream_dedupe_within_watermark(t.project(t.stream())).select(
         SERIES, F.col("hour_utc").cast("timestamp_ntz").alias("hour_utc"))
-    return incremental.drain_to_table(
+    table = incremental.drain_to_table(
         unique.withColumn("seen", F.lit(1)), f"{root}/table", f"{root}/checkpoint",
         [SERIES, "hour_utc"], mode="append").drop("seen")
+    missed = incremental.missed_hours(
+        t.project(t.stream()), table.withColumn("hour_utc", F.col("hour_utc").cast("timestamp")),
+        f"{root}/seen", f"{root}/seen-checkpoint")
+    return table.unionByName(missed.withColumn("hour_utc", F.col("hour_utc").cast("timestamp_ntz")))
 
 
 @query("i5_late_policy", sql=f"""

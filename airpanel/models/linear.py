@@ -32,7 +32,6 @@ NET_PATH_RATIO = 1e-3
 NET_TOLERANCE = 1e-3
 NET_MAX_SWEEPS = 20_000
 
-_DIGIT = 8  # cells pack small integers, three bits each
 
 
 def inner_splits(n_train: Column, rows_per_split: int = 500) -> Column:
@@ -43,9 +42,10 @@ def inner_splits(n_train: Column, rows_per_split: int = 500) -> Column:
 def add_cells(folded: DataFrame, k: int, rows_per_split: int = 500) -> DataFrame:
     """Adds ``cell``: outer block plus, for each fold and the final fit, the inner block.
 
-    Digit 0 is the outer block, digit ``f`` the inner block inside the training set
-    of fold ``f`` (0 when the row is not in it), digit ``k + 1`` the inner block of
-    the fit on all rows. Inner blocks count from 1.
+    A cell is written as numbers with dots between: number 0 is the outer block, number
+    ``f`` the inner block inside the training set of fold ``f`` (0 when the row is not
+    in it), number ``k + 1`` the inner block of the fit on all rows. Inner blocks
+    count from 1; no number is bounded, whatever the number of folds.
     """
     step = F.expr(f"n_rows div {k + 1}")
     df = folded.withColumn("_step", step).withColumn("_first", F.col("n_rows") - k * F.col("_step"))
@@ -58,11 +58,10 @@ def add_cells(folded: DataFrame, k: int, rows_per_split: int = 500) -> DataFrame
             F.floor((F.col("rn") - start) / F.greatest(size, F.lit(1))) + 2)
         return F.when(F.col("rn") < n_train, block).otherwise(F.lit(0))
 
-    cell = F.col("block").cast("bigint")
-    for f in range(1, k + 1):
-        cell = cell + inner(F.col("_first") + (f - 1) * F.col("_step")) * (_DIGIT**f)
-    cell = cell + inner(F.col("n_rows")) * (_DIGIT ** (k + 1))
-    return df.withColumn("cell", cell.cast("bigint")).drop("_step", "_first")
+    numbers = [F.col("block"), *[inner(F.col("_first") + (f - 1) * F.col("_step")) for f in range(1, k + 1)],
+               inner(F.col("n_rows"))]
+    cell = F.concat_ws(".", *[n.cast("bigint").cast("string") for n in numbers])
+    return df.withColumn("cell", cell).drop("_step", "_first")
 
 
 def moment_rows(celled: DataFrame, features: list[str]) -> DataFrame:
@@ -93,7 +92,7 @@ def moment_rows(celled: DataFrame, features: list[str]) -> DataFrame:
         *[F.col(c).cast("double").alias(c) for c in features],
         F.col("delta").cast("double").alias("delta"))
     return slim.mapInPandas(
-        partial, f"{SERIES} STRING, horizon INT, cell BIGINT, moments ARRAY<DOUBLE>")
+        partial, f"{SERIES} STRING, horizon INT, cell STRING, moments ARRAY<DOUBLE>")
 
 
 class _Moments:
@@ -281,18 +280,19 @@ def fit_linear(
     upper = np.triu_indices(size)
 
     def solve(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        cells: dict[int, np.ndarray] = {}
-        for cell, flat in zip(parts["cell"], parts["moments"], strict=True):
+        cells: dict[tuple[int, ...], np.ndarray] = {}
+        for name, flat in zip(parts["cell"], parts["moments"], strict=True):
             block = np.zeros((size, size))
             block[upper] = flat
             block += np.triu(block, 1).T
+            cell = tuple(map(int, name.split(".")))
             cells[cell] = cells[cell] + block if cell in cells else block
         folds, sets = [], []
         for fold in range(k + 1):
             digit = fold if fold else k + 1
             by_inner: dict[int, np.ndarray] = {}
             for cell, m in cells.items():
-                inner = (int(cell) // _DIGIT**digit) % _DIGIT
+                inner = cell[digit]
                 if inner:
                     by_inner[inner] = by_inner[inner] + m if inner in by_inner else m
             n_train = int(round(sum(m[0, 0] for m in by_inner.values())))

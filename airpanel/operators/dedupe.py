@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Above every ingest sequence number, below the BIGINT limit: the flag bit of
-# an order key, so that flag and sequence compare as one long.
-_FLAG = 1 << 61
+# Above every BIGINT: flag and sequence compare as one decimal, which is of fixed width.
+_FLAG = 1 << 64
 
 _FIXED_WIDTH = (
     T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -54,7 +53,8 @@ def dedupe_hour_prefer_live(
 ) -> DataFrame:
     """Per key, live rows beat backfilled ones, then the last ingested wins; a NULL flag is live."""
     live = ~F.coalesce(F.col(flag), F.lit(False))
-    order = F.col(sequence) + F.when(live, F.lit(_FLAG)).otherwise(F.lit(0).cast("bigint"))
+    flagged = F.when(live, F.lit(str(_FLAG)).cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)"))
+    order = (F.col(sequence).cast("decimal(37,0)") + flagged).cast("decimal(38,0)")
     return keep_by_order(df.withColumn(flag, ~live), keys, order)
 
 

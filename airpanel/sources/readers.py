@@ -100,7 +100,8 @@ def read_station_feed(spark: SparkSession, path: str) -> DataFrame:
 def flatten_weather_archive(payloads: DataFrame, series: Column, sequence: Column) -> DataFrame:
     """Struct-of-arrays weather -> hourly rows, the first delivery of an hour kept.
 
-    ``sequence`` orders the payloads (below 2**40). Variables missing from the
+    ``sequence`` orders the payloads, by any orderable column or struct; equal values
+    are told apart by the hour's place in its payload. Variables missing from the
     payload schema are simply absent from the result.
     """
     hourly = payloads.schema["hourly"].dataType
@@ -110,7 +111,7 @@ def flatten_weather_archive(payloads: DataFrame, series: Column, sequence: Colum
         series.alias(SERIES), sequence.alias("_payload"), F.posexplode(zipped).alias("_pos", "_h"))
     flat = rows.select(
         SERIES, hour_number(parse_ts_utc(F.col("_h.time"))).alias(HOUR),
-        (F.col("_payload") * 16384 + F.col("_pos")).alias("_seq"),
+        F.struct("_payload", "_pos").alias("_seq"),
         *[F.col(f"_h.{v}").alias(v) for v in variables])
     return dedupe_ts(flat.filter(F.col(HOUR).isNotNull()), [SERIES, HOUR], "_seq", "first").drop("_seq")
 
@@ -120,8 +121,9 @@ def read_weather_archive(
 ) -> DataFrame:
     """``variables`` narrows the schema to what the archive carries (the probe of the source)."""
     payloads = spark.read.schema(schemas.weather_payload(variables)).json(path, multiLine=True)
-    first = F.get(F.col("hourly.time"), F.lit(0))
-    return flatten_weather_archive(payloads, F.lit(series), hour_number(parse_ts_utc(first)))
+    first = hour_number(parse_ts_utc(F.get(F.col("hourly.time"), F.lit(0))))
+    # Files that begin at the same hour are told apart by their path.
+    return flatten_weather_archive(payloads, F.lit(series), F.struct(first, F.input_file_name()))
 
 
 def read_feature_csv(

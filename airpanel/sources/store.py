@@ -32,10 +32,16 @@ def write_feature_group(
     version: int,
     batch: int,
     event_time: str = "ts",
+    mode: str = "overwrite",
 ) -> None:
-    """Insert or update rows under one batch number (higher numbers win)."""
+    """Insert or update rows under one batch number (higher numbers win).
+
+    Rows with a true ``_deleted`` are tombstones: reads hide their key.
+    """
+    if "_deleted" not in df.columns:
+        df = df.withColumn("_deleted", F.lit(False))
     (df.withColumn("month", F.date_format(event_time, "yyyy-MM"))
-     .write.mode("overwrite").partitionBy("month")
+     .write.mode(mode).partitionBy("month")
      .parquet(f"{group_path(root, name, version)}/batch={int(batch)}"))
 
 
@@ -66,8 +72,12 @@ def read_feature_group(
     tail_days: int | None = None,
     event_time: str = "ts",
     before_batch: int | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame | None:
-    """Current rows, or None for a group that has none yet.
+    """Current rows, or None for a group that has none yet; keys with a tombstone are left out.
+
+    ``only`` names the series that are wanted; with ``tail_days`` a series that fell
+    silent long ago then widens the scan only if it is one of them.
 
     ``before_batch`` leaves out that batch and later ones, so a batch that runs a
     second time sees the same store as the first time.
@@ -81,6 +91,8 @@ def read_feature_group(
         return None
     if before_batch is not None:
         df = df.filter(F.col("batch") < before_batch)
+    if only is not None:
+        df = df.join(only.select(SERIES).distinct(), SERIES, "left_semi")
     if tail_days is not None:
         newest = df.groupBy(SERIES).agg(F.max(event_time).alias("_t"))
         oldest_needed = newest.agg(F.min("_t")).first()[0]
@@ -88,6 +100,7 @@ def read_feature_group(
             first_month = (oldest_needed - timedelta(days=tail_days)).strftime("%Y-%m")
             df = df.filter(F.col("month").cast("string") >= first_month)
     current = keep_by_order(df.drop("month"), list(pk), F.col("batch")).drop("batch")
+    current = current.filter(~F.col("_deleted")).drop("_deleted")
     return current if tail_days is None else tail_window(current, tail_days, event_time)
 
 

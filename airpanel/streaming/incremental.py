@@ -98,68 +98,103 @@ def incremental_update(
     """
     incoming = hourly_mean(readings, mask="before_mean", time=time).withColumn(
         "ts", hour_to_utc(F.col(HOUR))).persist()
-    fresh = None
     try:
-        if incoming.isEmpty():
+        if not incoming.isEmpty():
+            _update(incoming, root, batch, version, policy)
+    finally:
+        incoming.unpersist()
+
+
+def replay_quarantine(
+    spark: SparkSession, root: str, batch: int, version: int = 1, policy: str = "append_new"
+) -> None:
+    """Try refused hours again, as a batch of its own; those whose gap was filled meanwhile leave the quarantine."""
+    waiting = read_feature_group(spark, root, QUARANTINE, version, before_batch=batch)
+    if waiting is None:
+        return
+    waiting = waiting.persist()
+    try:
+        if waiting.isEmpty():
             return
-        written = _store_observed(incoming, root, batch, version, policy)
-        fresh = _fresh_features(written, root, batch, version, policy).persist()
-        problems = validate_features(fresh, [SERIES, HOUR], text_ok=["ts"]).filter(
+        refused = _update(waiting, root, batch, version, policy)
+        done = waiting if refused is None else waiting.join(refused, SERIES, "left_anti")
+        # Beside what the same batch refused again.
+        write_feature_group(done.withColumn("_deleted", F.lit(True)), root, QUARANTINE, version, batch, mode="append")
+    finally:
+        waiting.unpersist()
+
+
+def _update(incoming: DataFrame, root: str, batch: int, version: int, policy: str) -> DataFrame | None:
+    """Gate, store and rebuild from hourly means; returns the refused series, if any."""
+    written, refused = _store_observed(incoming, root, batch, version, policy)
+    fresh = _fresh_features(written, root, batch, version, policy).persist()
+    try:
+        problems = validate_features(
+            fresh.filter(~F.col("_deleted")).drop("_deleted"), [SERIES, HOUR], text_ok=["ts"]).filter(
             F.col("check") != "empty frame")
         if not problems.isEmpty():
             found = [r.asDict() for r in problems.limit(20).collect()]
             raise ValueError(f"update refused: {found}")
         write_feature_group(fresh, root, FEATURES, version, batch)
     finally:
-        incoming.unpersist()
-        if fresh is not None:
-            fresh.unpersist()
+        fresh.unpersist()
+    return refused
 
 
 def _store_observed(
     incoming: DataFrame, root: str, batch: int, version: int, policy: str
-) -> DataFrame:
-    """Gate and store new hourly means; returns what this batch stored."""
+) -> tuple[DataFrame, DataFrame | None]:
+    """Gate and store new hourly means; returns what this batch stored, and the refused series."""
     spark = incoming.sparkSession
     stored = read_feature_group(
-        spark, root, OBSERVED, version, tail_days=HISTORY_DAYS, before_batch=batch)
-    accepted = incoming
+        spark, root, OBSERVED, version, tail_days=HISTORY_DAYS, before_batch=batch, only=incoming)
+    accepted, waiting = incoming, None
     if stored is not None:
+        # A redelivery of an old hour says nothing about the gap in front of the new ones.
+        ahead = newer_than(incoming, stored, time=HOUR)
         first_hours = freshness_gate(
-            incoming.groupBy(SERIES).agg(F.min("ts").alias("ts")), stored, MAX_GAP_HOURS)
+            ahead.groupBy(SERIES).agg(F.min("ts").alias("ts")), stored, MAX_GAP_HOURS)
         refused = first_hours.filter(~F.col("is_accepted")).select(SERIES).persist()
         if not refused.isEmpty():
-            # The refused rows keep their own time, so a backfill can replay them.
+            # The refused rows keep their own time, so that they can be replayed.
             write_feature_group(
                 incoming.join(refused, SERIES, "left_semi"), root, QUARANTINE, version, batch)
             accepted = incoming.join(refused, SERIES, "left_anti")
+            waiting = read_batch(spark, root, QUARANTINE, version, batch, incoming.schema).select(SERIES).distinct()
         refused.unpersist()
         accepted = apply_late_policy(stored, accepted, policy)
     write_feature_group(accepted, root, OBSERVED, version, batch)
-    return read_batch(spark, root, OBSERVED, version, batch, incoming.schema)
+    return read_batch(spark, root, OBSERVED, version, batch, incoming.schema), waiting
 
 
 def _fresh_features(
     written: DataFrame, root: str, batch: int, version: int, policy: str
 ) -> DataFrame:
-    """Complete feature rows that the stored batch adds or changes."""
+    """Complete feature rows that the stored batch adds or changes; under ``upsert`` also tombstones.
+
+    A changed hour may leave others without complete features; their tombstones hide
+    the rows that earlier batches stored for them.
+    """
     spark = written.sparkSession
     touched = written.select(SERIES).distinct()
-    tail = {"tail_days": HISTORY_DAYS, "before_batch": batch}
-    whole = {"before_batch": batch}
+    tail = {"tail_days": HISTORY_DAYS, "before_batch": batch, "only": touched}
+    whole = {"before_batch": batch, "only": touched}
     observed = read_feature_group(
         spark, root, OBSERVED, version, **(tail if policy == "append_new" else whole))
-    history = (written.limit(0) if observed is None
-               else observed.join(touched, SERIES, "left_semi"))
+    history = written.limit(0) if observed is None else observed
+    wanted = (SERIES, HOUR, "ts")
     if policy == "append_new":
         fresh = rebuild_features(history, written)
         done = read_feature_group(spark, root, FEATURES, version, **tail)
         if done is not None:
             fresh = newer_than(fresh, done, time=HOUR)
-    else:
-        fresh = rebuild_affected(history, written)
-    return select_features(
-        complete_cases(fresh, HOURLY_FEATURES), HOURLY_FEATURES, (SERIES, HOUR, "ts"))
+        return select_features(complete_cases(fresh, HOURLY_FEATURES), HOURLY_FEATURES, wanted).withColumn(
+            "_deleted", F.lit(False))
+    changed = select_features(rebuild_affected(history, written), HOURLY_FEATURES, wanted)
+    is_complete = F.lit(True)
+    for name in HOURLY_FEATURES:
+        is_complete = is_complete & F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
+    return changed.withColumn("_deleted", ~is_complete)
 
 
 def run_updates(stream: DataFrame, root: str, checkpoint: str, first_batch: int = 1, **options) -> None:
@@ -173,14 +208,28 @@ def run_updates(stream: DataFrame, root: str, checkpoint: str, first_batch: int
 
 
 def stream_hourly_mean(
-    stream: DataFrame, cols: list[str], watermark: str = "2 hours", time: str = "observed_at"
+    stream: DataFrame, cols: list[str], path: str, checkpoint: str, time: str = "observed_at"
 ) -> DataFrame:
-    """Tumbling one-hour means per series of a stream of readings."""
-    return (stream.withColumn("_t", F.col(time).cast("timestamp"))
-            .withWatermark("_t", watermark)
-            .groupBy(SERIES, F.window("_t", "1 hour").alias("_w"))
-            .agg(*[F.avg(c).alias(c) for c in cols])
-            .select(SERIES, F.col("_w.start").alias("ts"), *cols))
+    """Drain a stream to one-hour means per series, however late a reading arrives.
+
+    Every micro-batch stores its own sums and counts under its number; the means are
+    their totals. No watermark is involved, so backfilled readings count like others,
+    and a batch that runs again replaces its own part only.
+    """
+    def write(df: DataFrame, n: int) -> None:
+        sums = [F.sum(c).alias(f"sum_{c}") for c in cols]
+        counts = [F.count(c).alias(f"count_{c}") for c in cols]
+        (df.groupBy(SERIES, F.date_trunc("hour", F.col(time)).alias("ts")).agg(*sums, *counts)
+         .write.mode("overwrite").parquet(f"{path}/batch={n}"))
+
+    (stream.writeStream.foreachBatch(write)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True)
+     .start().awaitTermination())
+    parts = stream.sparkSession.read.parquet(path).groupBy(SERIES, "ts").agg(
+        *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in cols],
+        *[F.sum(f"count_{c}").alias(f"count_{c}") for c in cols])
+    return parts.select(SERIES, "ts", *[
+        F.when(F.col(f"count_{c}") > 0, F.col(f"sum_{c}") / F.col(f"count_{c}")).alias(c) for c in cols])
 
 
 def stream_dedupe(stream: DataFrame, path: str, checkpoint: str, keys: list[str]) -> DataFrame:
@@ -202,20 +251,39 @@ def stream_dedupe(stream: DataFrame, path: str, checkpoint: str, keys: list[str]
 def stream_dedupe_within_watermark(
     stream: DataFrame, watermark: str = "2 hours", time: str = "observed_at"
 ) -> DataFrame:
-    """The stateful form for continuous consumers: re-deliveries within the watermark are dropped."""
+    """The stateful form for continuous consumers: re-deliveries within the watermark are dropped.
+
+    Readings later than the watermark are dropped as well; ``missed_hours`` finds them.
+    """
     return (stream.withColumn("_t", F.date_trunc("hour", F.col(time).cast("timestamp")))
             .withWatermark("_t", watermark)
             .dropDuplicatesWithinWatermark([SERIES, "_t"])
             .withColumnRenamed("_t", "hour_utc"))
 
 
+def missed_hours(
+    stream: DataFrame, emitted: DataFrame, path: str, checkpoint: str, time: str = "observed_at"
+) -> DataFrame:
+    """Hours of a stream that the stateful form did not emit, because every delivery came too late."""
+    def write(df: DataFrame, n: int) -> None:
+        (df.select(SERIES, F.date_trunc("hour", F.col(time).cast("timestamp")).alias("hour_utc")).distinct()
+         .write.mode("overwrite").parquet(f"{path}/batch={n}"))
+
+    (stream.writeStream.foreachBatch(write)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True)
+     .start().awaitTermination())
+    seen = stream.sparkSession.read.parquet(path).select(SERIES, "hour_utc").distinct()
+    return seen.join(emitted.select(SERIES, "hour_utc"), [SERIES, "hour_utc"], "left_anti")
+
+
 def drain_to_table(
     stream: DataFrame, path: str, checkpoint: str, keys: list[str], mode: str = "update"
 ) -> DataFrame:
     """Run a stream to its end into a batch-numbered folder; returns the newest row per key.
 
-    In update mode a group is emitted again whenever it changes, so the table is
-    complete at the end of the stream without waiting for the watermark.
+    In update mode a group is emitted again whenever it changes, so at the end of the
+    stream the table holds every group without waiting for the watermark; rows that
+    a watermark dropped on the way are not in it.
     """
     def write(df: DataFrame, n: int) -> None:
         df.write.mode("overwrite").parquet(f"{path}/batch={n}")
