@@ -43,13 +43,14 @@ _UNIT = 1000             # soft counts are whole thousandths
 
 
 def trigrams(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of every byte trigram, A-Z lowered, and the text it belongs to."""
+    """Bucket of every byte trigram that is not white space alone, A-Z lowered, and the text it belongs to."""
     if len(body) < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     lower = np.where((body >= 65) & (body <= 90), body + np.uint8(32), body).astype(np.uint32)
     mixed = (lower[:-2] * np.uint32(0x9E3779B1)) ^ (lower[1:-1] * np.uint32(0x85EBCA77)) ^ (lower[2:] * np.uint32(0xC2B2AE3D))
     row = owner(offsets)
-    whole = row[:-2] == row[2:]
+    ink = body > 32
+    whole = (row[:-2] == row[2:]) & (ink[:-2] | ink[1:-1] | ink[2:])
     return ((mixed ^ (mixed >> np.uint32(15))) & np.uint32(BUCKETS - 1))[whole].astype(np.int64), row[:-2][whole]
 
 
@@ -138,7 +139,9 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple[str, ...] = LA
 
     counted = seen.where("trigrams > 0")
     sums = [F.sum(f"q{i}").alias(f"q{i}") for i in n]
-    hosts = counted.groupBy("kind", "suffix", "domain", "host").agg(*sums)
+    # Hosts of texts without evidence are there too, so that they meet their domain and suffix.
+    hosts = seen.groupBy("kind", "suffix", "domain", "host").agg(
+        *[F.sum(F.when(F.col("trigrams") > 0, F.col(f"q{i}")).otherwise(0)).alias(f"q{i}") for i in n])
     levels = {}
     for level, keys in (("domain", ["kind", "suffix", "domain"]), ("suffix", ["kind", "suffix"])):
         totals = hosts.groupBy(*keys).agg(*[F.sum(f"q{i}").alias(f"{level}{i}") for i in n])
