@@ -10,8 +10,9 @@
 4. A list is first merged with its hub only, the member whose values are the most common: in a group of edited copies
    that is the original. Hub pairs are as many as postings, whatever the size of a group.
 5. Pairs whose members are linked by then need no comparison. Of lists that still hold several components, the other pairs are
-   compared in place, and a pair goes on only in the first list it shares, if its collisions reach the threshold and
-   the shingles that its members share with anyone could suffice.
+   compared where the list is, in blocks of ``BLOCK`` members, and a pair goes on only in the first list it shares, if its collisions reach the threshold and
+   upper bounds of the intersection suffice: the shingles its members share with anyone, and counts of their shingles in
+   ``CELLS`` cells. No pair that could be a link is left out.
 6. Every link is confirmed on the full sets: 100 * intersection >= 100 * similarity * union.
 
 Defined results: null or empty texts, or texts of white space, have no shingles and are linked with nothing; a text
@@ -38,6 +39,8 @@ by_value(__name__)
 
 COORDINATES = 32
 MISS = 1e-6
+CELLS = 512     # cells that the shingles of a set are counted in, for a bound on intersections
+BLOCK = 2048    # members of a list that are compared in one piece of work with as many others
 _RANDOM = np.random.default_rng(20240502)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
 _FLIP = _RANDOM.integers(1, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -152,13 +155,76 @@ def _signed(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Record
             names=["doc_id", "text_key", "n_shingles", "set_id", "signature"])
 
 
+def _cells(sets: list[np.ndarray]) -> np.ndarray:
+    """Shingles of each set per cell; an intersection is at most the sum of the smaller counts of both sides."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    cell = (np.concatenate(sets) % np.uint64(CELLS)).astype(np.int64)
+    return np.bincount(row * CELLS + cell, minlength=len(sets) * CELLS).reshape(len(sets), CELLS).astype("<u4")
+
+
 def _full_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         sets = shingle_sets(*flat(batch.column("text")), words)
         lengths = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
         yield pa.RecordBatch.from_arrays(
             [pa.array([_digest(s) for s in sets], pa.binary()),
-             list_array(pa.array(np.concatenate(sets).view(np.int64)), lengths)], names=["set_id", "shingles"])
+             list_array(pa.array(np.concatenate(sets).view(np.int64)), lengths),
+             pa.array([row.tobytes() for row in _cells(sets)], pa.binary())], names=["set_id", "shingles", "cells"])
+
+
+def _pairs_in(group: pa.Table, num: int, den: int, least: int) -> list[tuple[bytes, bytes]]:
+    """Pairs of two blocks (or within one) of a list that may be links of different components."""
+    ids, comps = group["set_id"].to_pylist(), group["component"].to_pylist()
+    code = {c: i for i, c in enumerate(dict.fromkeys(comps))}
+    comp = np.array([code[c] for c in comps])
+    if len(code) < 2:
+        return []
+    n, shared = np.asarray(group["n_shingles"]), np.asarray(group["shared"])
+    block, token = np.asarray(group["block"]), group["token"][0].as_py()
+    signature = np.asarray(group["signature"].combine_chunks().flatten()).reshape(len(ids), COORDINATES)
+    cells = np.frombuffer(b"".join(group["cells"].to_pylist()), "<u4").reshape(len(ids), CELLS)
+    prefixes = group["prefix"].to_pylist()
+    same = group["i"][0].as_py() == group["j"][0].as_py()
+    left = np.arange(len(ids)) if same else np.flatnonzero(block == group["i"][0].as_py())
+    right = left if same else np.flatnonzero(block == group["j"][0].as_py())
+    enough = lambda both, x, y: den * both >= num * (n[x] + n[y] - both)
+    found = []
+    for at in range(0, len(left), 64):
+        rows = left[at:at + 64]
+        some = (comp[rows][:, None] != comp[right][None]) & enough(
+            np.minimum(shared[rows][:, None], shared[right][None]), rows[:, None], right[None])
+        if same:
+            some &= rows[:, None] < right[None]
+        x, y = np.nonzero(some)
+        x, y = rows[x], right[y]
+        for start in range(0, len(x), 20_000):
+            a, b = x[start:start + 20_000], y[start:start + 20_000]
+            match = (signature[a] == signature[b]).sum(axis=1) >= least
+            a, b = a[match], b[match]
+            close = enough(np.minimum(cells[a], cells[b]).sum(axis=1, dtype=np.int64), a, b)
+            for p, q in zip(a[close].tolist(), b[close].tolist()):
+                if min(set(prefixes[p]) & set(prefixes[q])) == token:  # else another list has the pair
+                    found.append((min(ids[p], ids[q]), max(ids[p], ids[q])))
+    return found
+
+
+def _open_pairs(batches: Iterator[pa.RecordBatch], num: int, den: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (token, i, j); a group has two blocks at most."""
+    def out(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = _pairs_in(pa.Table.from_batches(parts), num, den, least) if parts else []
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    parts, key = [], None
+    for batch in batches:
+        keys = np.column_stack([np.asarray(batch.column(c)).astype(np.int64) for c in ("token", "i", "j")])
+        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))) if len(keys) else []
+        for a, b in zip(starts, np.append(starts[1:], len(keys))):
+            if key != tuple(keys[a]):
+                yield from out(parts)
+                parts, key = [], tuple(keys[a])
+            parts.append(batch.slice(a, b - a))
+    yield from out(parts)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -203,7 +269,7 @@ def links(docs: DataFrame, rows: DataFrame, words: int, num: int, den: int) -> D
             .groupBy("set_id").agg(F.min(F.struct("doc_id", "text_key")).alias("key")).select("key"))
     texts = _texts(docs)
     needed = texts.withColumn("key", F.struct("doc_id", "text_key")).join(some, "key", "left_semi").select("text")
-    sets = stored(needed.mapInArrow(partial(_full_sets, words=words), "set_id binary, shingles array<long>")
+    sets = stored(needed.mapInArrow(partial(_full_sets, words=words), "set_id binary, shingles array<long>, cells binary")
                   .dropDuplicates(["set_id"]), "near-sets")
 
     lists = posted.select("set_id", "n_shingles", "score", F.explode("prefix").alias("token"))
@@ -230,17 +296,18 @@ def links(docs: DataFrame, rows: DataFrame, words: int, num: int, den: int) -> D
             .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.first("set_id").alias("set_id")).where("n = 1")
             .groupBy("set_id").agg(F.count(F.lit(1)).alias("own")))
     open_sets = (member.join(left_over.select("set_id"), "set_id", "left_semi").join(rare, "set_id", "left")
+                 .join(sets.select("set_id", "cells"), "set_id")
                  .withColumn("shared", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
                  .where(den * F.col("shared") >= num * F.col("n_shingles")).drop("own"))
-    entries = left_over.join(open_sets, "set_id")
-    side = lambda x: entries.select("token", *[F.col(c).alias(f"{c}_{x}") for c in open_sets.columns])
-    most = F.least("shared_a", "shared_b")
-    rest = (side("a").join(side("b"), "token").where(
-                (F.col("set_id_a") < F.col("set_id_b")) & (F.col("component_a") != F.col("component_b"))
-                & (den * most >= num * (F.col("n_shingles_a") + F.col("n_shingles_b") - most))
-                & (_agree("signature_a", "signature_b") >= least)
-                & (F.array_min(F.array_intersect("prefix_a", "prefix_b")) == F.col("token")))
-            .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct())
+    # Blocks of a list meet pairwise, so no task ever holds more than two, whatever the length of a list.
+    lengths = left_over.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    entries = (left_over.join(lengths, "token").join(open_sets, "set_id")
+               .withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+               .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")))
+    rest = (entries.select("token", "i", "j", "block", "set_id", "component", "n_shingles", "shared", "signature", "prefix", "cells")
+            .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+            .mapInArrow(partial(_open_pairs, num=num, den=den, least=least), "a binary, b binary").distinct())
     return first.union(_confirmed(rest, sets, num, den))
 
 
