@@ -215,8 +215,9 @@ def s9(t: Tables) -> DataFrame:
 WITH {S.ev()}, {S.means()} SELECT series_id, make_timestamp(hr * 3600000000) AS fetched_at,
   make_timestamp(hr * 3600000000) AS station_timestamp, {S.LIST} FROM hm""")
 def s10(t: Tables) -> DataFrame:
-    return writers.export_features(
-        timegrid.hourly_mean(t.readings()).withColumn("ts", hour_to_utc(F.col(HOUR))))
+    path = t.folder("export")
+    writers.write_export(timegrid.hourly_mean(t.readings()).withColumn("ts", hour_to_utc(F.col(HOUR))), path)
+    return t.spark.read.parquet(path)
 
 
 @query("s13_snapshot_table", floats=_SIX, sql=_HM)

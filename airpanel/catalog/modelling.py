@@ -289,11 +289,38 @@ def l1(t: Tables) -> DataFrame:
 
 @query("l2_attribution")
 def l2(t: Tables) -> DataFrame:
-    """Mean absolute attribution of the ridge fit at +24 h on a hash sample."""
+    """Mean absolute attribution of the ridge fit at +24 h on a hash sample, around training means, per series."""
     rows = long_rows(t, [24]).persist()
     fits = linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=("ridge",)).filter("fold = 0")
     return explain.mean_abs_attribution(
-        explain.linear_attribution(sample_rows(rows, 1500), fits, HOURLY_FEATURES))
+        explain.linear_attribution(sample_rows(rows, 1500), fits, HOURLY_FEATURES, background=rows),
+        [SERIES, "horizon", "feature"])
+
+
+_GIVEN = ["aqi_diff1", "aqi_minus_roll24", "aqi_minus_roll168", "aqi_minus_hourly_norm"]
+
+
+@query("l2_attribution_of_given_weights", floats="mean_abs", sql=f"""
+{_LONG} SELECT series_id, horizon, feature, avg(abs(w * (x - m))) AS mean_abs FROM ({' UNION ALL '.join(
+    f"SELECT series_id, horizon, '{c}' AS feature, {i + 1}.0::DOUBLE AS w, CAST({c} AS DOUBLE) AS x, "
+    f"avg({c}) OVER (PARTITION BY series_id, horizon) AS m FROM fd" for i, c in enumerate(_GIVEN))})
+GROUP BY ALL""")
+def l2_given(t: Tables) -> DataFrame:
+    """Attributions of linear models whose weights are given, per series and horizon."""
+    rows = long_rows(t)
+    weights = F.array(*[F.lit(float(i + 1)) for i in range(len(_GIVEN))])
+    given = rows.select(SERIES, "horizon").distinct().withColumn("weights", weights)
+    return explain.mean_abs_attribution(
+        explain.linear_attribution(rows, given, _GIVEN), [SERIES, "horizon", "feature"])
+
+
+@query("l3_attribution_linearity")
+def l3_attribution(t: Tables) -> DataFrame:
+    """How linear the ridge attributions at +24 h are in their features, per series: by construction r2 is 1."""
+    rows = long_rows(t, [24]).persist()
+    fits = linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=("ridge",)).filter("fold = 0")
+    long = explain.linear_attribution(sample_rows(rows, 1500), fits, HOURLY_FEATURES, background=rows)
+    return explain.response_linearity(long, [SERIES, "horizon", "feature"])
 
 
 @query("l3_response_linearity", floats="slope intercept r2", sql=f"""
@@ -310,6 +337,18 @@ def l3(t: Tables) -> DataFrame:
         rows.unpivot(["attribution"], names, "feature", "x"))
 
 
+@query("e8_shuffled_targets", sql=f"""
+{_LONG}, rk AS (SELECT series_id, horizon, hr, aqi, target - aqi AS delta,
+  row_number() OVER (PARTITION BY series_id, horizon ORDER BY hr) AS i,
+  row_number() OVER (PARTITION BY series_id, horizon ORDER BY md5(concat_ws('|', hr, 42)), hr) AS j FROM fd)
+SELECT a.series_id, a.horizon, a.hr, CAST(a.aqi + b.delta AS BIGINT) AS target
+FROM rk a JOIN rk b ON a.series_id = b.series_id AND a.horizon = b.horizon AND a.i = b.j""")
+def e8_targets(t: Tables) -> DataFrame:
+    """The permuted targets themselves, all horizons."""
+    return evaluate.shuffled_targets(long_rows(t)).select(
+        SERIES, F.col("horizon"), HOUR, F.col("target").cast("bigint").alias("target"))
+
+
 @query("e8_shuffled_target_control")
 def e8(t: Tables) -> DataFrame:
     """Ridge on permuted targets: its delta_r2 has to stay near or below zero."""

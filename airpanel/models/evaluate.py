@@ -296,7 +296,8 @@ def shuffled_targets(training: DataFrame, seed: int = 42) -> DataFrame:
     Row ``i`` in time order receives the change that comes ``i``-th in hash order.
     """
     by_time = Window.partitionBy(*CELL).orderBy(HOUR)
-    by_hash = Window.partitionBy(*CELL).orderBy(F.xxhash64(HOUR, F.lit(seed)), HOUR)
+    draw = F.md5(F.concat_ws("|", F.col(HOUR).cast("string"), F.lit(str(seed))).cast("binary"))
+    by_hash = Window.partitionBy(*CELL).orderBy(draw, HOUR)
     rows = training.withColumn("_i", F.row_number().over(by_time)).drop("delta", "target")
     shuffled = training.select(
         *CELL, "delta", F.row_number().over(by_hash).alias("_i"))

@@ -10,13 +10,15 @@ from airpanel.models.trees import predict_trees
 from airpanel.schemas import HOUR
 
 
-def linear_attribution(rows: DataFrame, coefficients: DataFrame, features: list[str]) -> DataFrame:
+def linear_attribution(
+    rows: DataFrame, coefficients: DataFrame, features: list[str], background: DataFrame | None = None
+) -> DataFrame:
     """Long table (feature, x, attribution) with attribution = weight * (x - mean x).
 
     For a linear model this closed form is the exact additive attribution. Means
-    are over the given rows per series and horizon.
+    are over ``background`` (the training rows; else the given rows) per series and horizon.
     """
-    means = rows.groupBy(*CELL).agg(F.array(*[F.avg(c) for c in features]).alias("_means"))
+    means = (rows if background is None else background).groupBy(*CELL).agg(F.array(*[F.avg(c) for c in features]).alias("_means"))
     named = F.array(*[F.lit(c) for c in features])
     values = F.array(*[F.col(c).cast("double") for c in features])
     return (rows.join(means, CELL)
@@ -28,13 +30,13 @@ def linear_attribution(rows: DataFrame, coefficients: DataFrame, features: list[
                     (F.col("_z.w") * (F.col("_z.x") - F.col("_z.m"))).alias("attribution")))
 
 
-def mean_abs_attribution(attributions: DataFrame) -> DataFrame:
-    return attributions.groupBy("feature").agg(F.avg(F.abs("attribution")).alias("mean_abs"))
+def mean_abs_attribution(attributions: DataFrame, by: list[str] | None = None) -> DataFrame:
+    return attributions.groupBy(*(by or ["feature"])).agg(F.avg(F.abs("attribution")).alias("mean_abs"))
 
 
-def response_linearity(attributions: DataFrame) -> DataFrame:
+def response_linearity(attributions: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Straight-line fit of attribution on the feature value; r2 near 1 means a linear response."""
-    return attributions.groupBy("feature").agg(
+    return attributions.groupBy(*(by or ["feature"])).agg(
         F.regr_slope("attribution", "x").alias("slope"),
         F.regr_intercept("attribution", "x").alias("intercept"),
         F.regr_r2("attribution", "x").alias("r2"))

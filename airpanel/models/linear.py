@@ -158,18 +158,19 @@ def fit_ridge(training_sets: list[_Moments], alphas: np.ndarray = RIDGE_ALPHAS)
             scores.append(1 - sse / spread if spread > 0 else np.zeros(len(alphas)))
         alpha = alphas[int(np.argmax(np.mean(scores, axis=0)))]
         weights, intercepts = _ridge_path(moments.total, np.array([alpha]))
-        fits.append((float(alpha), None, weights[0], float(intercepts[0])))
+        fits.append((float(alpha), None, weights[0], float(intercepts[0]), True))
     return fits
 
 
-def _descend(gram: np.ndarray, cross: np.ndarray, l1, l2, start: np.ndarray) -> np.ndarray:
+def _descend(gram: np.ndarray, cross: np.ndarray, l1, l2, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Coordinate descent on many problems at once, finished by exact solves.
 
     ``gram`` is (feature, problem, feature), ``cross`` and the weights (feature,
     problem). After every few sweeps each problem is solved exactly for its current
     nonzero weights and signs; it leaves the batch when that solution meets the
     optimality conditions, or when a sweep no longer moves its weights by more
-    than the tolerance relative to the largest.
+    than the tolerance relative to the largest. Returns the weights and, per problem,
+    whether it left the batch before ``NET_MAX_SWEEPS``.
     """
     w = start.copy()
     live = np.arange(w.shape[1])
@@ -193,7 +194,9 @@ def _descend(gram: np.ndarray, cross: np.ndarray, l1, l2, start: np.ndarray) ->
         live = live[~done]
         if len(live) == 0:
             break
-    return w
+    converged = np.ones(w.shape[1], bool)
+    converged[live] = False
+    return w, converged
 
 
 def _solve_active(g, c, l1, l2, v) -> tuple[np.ndarray, np.ndarray]:
@@ -235,7 +238,7 @@ def fit_elastic_net(training_sets: list[_Moments]) -> list[tuple]:
     losses = np.zeros((len(training_sets), len(ratios), N_NET_ALPHAS))
     for a in range(N_NET_ALPHAS):
         alpha = top * shape[a]
-        w = _descend(gram, cross, alpha * mix, alpha * (1 - mix), w)
+        w, _ = _descend(gram, cross, alpha * mix, alpha * (1 - mix), w)
         for q, (i, (_, _, x_mean, y_mean), _, valid) in enumerate(parts):
             own = w[:, q * len(ratios):(q + 1) * len(ratios)].T
             losses[i, :, a] += _errors(valid, own, y_mean - own @ x_mean) / valid[0, 0]
@@ -244,20 +247,21 @@ def fit_elastic_net(training_sets: list[_Moments]) -> list[tuple]:
             for i in range(len(training_sets))]
     chosen = np.array([ratios[r] for r, _ in best])
     alphas = np.array([peaks[i] / ratios[r] * shape[a] for i, (r, a) in enumerate(best)])
-    final = _descend(
+    final, converged = _descend(
         np.ascontiguousarray(np.stack(
             [c[0] / m.n for m, c in zip(training_sets, whole, strict=True)], axis=1)),
         np.stack([c[1] / m.n for m, c in zip(training_sets, whole, strict=True)], axis=1),
         alphas * chosen, alphas * (1 - chosen), np.zeros((len(cross), len(training_sets))))
-    return [(float(alphas[i]), float(chosen[i]), final[:, i],
-             float(whole[i][3] - final[:, i] @ whole[i][2])) for i in range(len(training_sets))]
+    return [(float(alphas[i]), float(chosen[i]), final[:, i], float(whole[i][3] - final[:, i] @ whole[i][2]),
+             bool(converged[i])) for i in range(len(training_sets))]
 
 
 _FITS = {"ridge": fit_ridge, "elastic_net": fit_elastic_net}
 
 _COEFFICIENTS = (
     f"{SERIES} STRING, horizon INT, fold INT, model STRING, n_train BIGINT, alpha DOUBLE, "
-    "l1_ratio DOUBLE, intercept DOUBLE, weights ARRAY<DOUBLE>, standardised ARRAY<DOUBLE>")
+    "l1_ratio DOUBLE, intercept DOUBLE, weights ARRAY<DOUBLE>, standardised ARRAY<DOUBLE>, "
+    "converged BOOLEAN")
 
 
 def fit_linear(
@@ -271,7 +275,8 @@ def fit_linear(
 ) -> DataFrame:
     """Coefficients per series, horizon, fold and model; fold 0 is the fit on all rows.
 
-    ``weights`` apply to raw features, ``standardised`` are the same on unit scale.
+    ``weights`` apply to raw features, ``standardised`` are the same on unit scale;
+    ``converged`` is false where the elastic net stopped at its limit of sweeps.
     """
     features = features or HOURLY_FEATURES
     folded = expanding_folds(training, k, min_train, order)
@@ -301,14 +306,14 @@ def fit_linear(
                 sets.append(_Moments(by_inner))
         out = []
         for name in models if sets else ():
-            for (fold, n_train), moments, (alpha, ratio, beta, intercept) in zip(
+            for (fold, n_train), moments, (alpha, ratio, beta, intercept, converged) in zip(
                     folds, sets, _FITS[name](sets), strict=True):
                 raw = beta / moments.scale
                 out.append((key[0], key[1], fold, name, n_train, alpha, ratio,
-                            intercept - float(raw @ moments.mean), raw, beta))
+                            intercept - float(raw @ moments.mean), raw, beta, converged))
         return pd.DataFrame(out, columns=[
             SERIES, "horizon", "fold", "model", "n_train", "alpha", "l1_ratio",
-            "intercept", "weights", "standardised"])
+            "intercept", "weights", "standardised", "converged"])
 
     # Little data, much work per group: a fixed number of partitions keeps adaptive
     # execution from merging all groups into one task.

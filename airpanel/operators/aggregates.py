@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airpanel.operators.timegrid import series_window
@@ -19,6 +19,18 @@ def series_stats(df: DataFrame, time: str = "ts", value: str = "aqi") -> DataFra
         F.stddev_samp(value).alias("std"))
 
 
+# A bucket of values is this part of an octave, so values in [0, 1) spread like others.
+_OCTAVE_PARTS = 1 << 16
+
+
+def _value_bucket(value: Column) -> Column:
+    """An order-preserving whole number per value, of bounded relative width."""
+    size = F.abs(value)
+    octave = F.floor(F.log2(size))
+    part = (octave + 1100) * _OCTAVE_PARTS + F.floor((size / F.pow(F.lit(2.0), octave) - 1) * _OCTAVE_PARTS)
+    return F.when(value > 0, part).when(value < 0, -part).otherwise(F.lit(0)).cast("bigint")
+
+
 def describe(df: DataFrame, col: str, by: str = SERIES) -> DataFrame:
     """count, mean, std, min, quartiles (linear between ranks), max per group.
 
@@ -28,7 +40,7 @@ def describe(df: DataFrame, col: str, by: str = SERIES) -> DataFrame:
     """
     counts = (df.filter(F.col(col).isNotNull())
               .groupBy(by, F.col(col).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
-              .withColumn("_b", F.floor("_v")))
+              .withColumn("_b", _value_bucket(F.col("_v"))))
     buckets = counts.groupBy(by, "_b").agg(F.sum("_n").alias("_bn"))
     before = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.select(

@@ -151,8 +151,8 @@ def peak_and_first_crossing(forecast: DataFrame, threshold: float = 150) -> Data
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42, keys: Sequence[str] = (SERIES, HOUR)) -> DataFrame:
-    """A repeatable sample of at most ``n`` rows, chosen by hash and returned in time order."""
-    draw = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
+    """A repeatable sample of at most ``n`` rows, chosen by a hash that other engines share, in time order."""
+    draw = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))).cast("binary"))
     return (df.withColumn("_draw", draw).orderBy("_draw", *keys).limit(n)
             .drop("_draw").orderBy(*keys))
 

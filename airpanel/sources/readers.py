@@ -57,7 +57,7 @@ def flatten_history(payloads: DataFrame, series: Column) -> DataFrame:
     """History payloads -> one backfilled reading per list entry; weather is not in the history."""
     carried = [c for c in payloads.columns if c not in schemas.HISTORY_PAYLOAD.names]
     entries = payloads.select(
-        *carried, series.alias(SERIES), F.posexplode("list").alias("entry_no", "_entry"))
+        *[c for c in carried if c != SERIES], series.alias(SERIES), F.posexplode("list").alias("entry_no", "_entry"))
     entry = F.col("_entry")
     observed = epoch_to_ts(entry["dt"])
     flat = entries.select(
@@ -71,9 +71,17 @@ def flatten_history(payloads: DataFrame, series: Column) -> DataFrame:
         "aqi": aqi_from_pm25("pm25"), **calendar_parts(F.col("fetched_at"))})
 
 
-def read_history(spark: SparkSession, path: str, series: str = DEFAULT_CITY) -> DataFrame:
-    payloads = spark.read.schema(schemas.HISTORY_PAYLOAD).json(path, multiLine=True)
-    return flatten_history(payloads, F.lit(series))
+def _panel(spark: SparkSession, path: str, schema: T.StructType, series: str | None) -> tuple[DataFrame, Column]:
+    """Payloads and their series: given, or that of the folder ``series_id=...`` they lie in."""
+    if series is not None:
+        return spark.read.schema(schema).json(path, multiLine=True), F.lit(series)
+    with_series = T.StructType([*schema.fields, T.StructField(SERIES, T.StringType())])
+    return spark.read.schema(with_series).json(path, multiLine=True), F.col(SERIES)
+
+
+def read_history(spark: SparkSession, path: str, series: str | None = DEFAULT_CITY) -> DataFrame:
+    """One series, or with ``series=None`` a whole panel below ``series_id=<name>/`` folders in one scan."""
+    return flatten_history(*_panel(spark, path, schemas.HISTORY_PAYLOAD, series))
 
 
 def flatten_station_feed(payloads: DataFrame) -> DataFrame:
@@ -117,13 +125,16 @@ def flatten_weather_archive(payloads: DataFrame, series: Column, sequence: Colum
 
 
 def read_weather_archive(
-    spark: SparkSession, path: str, series: str, variables: list[str] | None = None
+    spark: SparkSession, path: str, series: str | None, variables: list[str] | None = None
 ) -> DataFrame:
-    """``variables`` narrows the schema to what the archive carries (the probe of the source)."""
-    payloads = spark.read.schema(schemas.weather_payload(variables)).json(path, multiLine=True)
+    """``variables`` narrows the schema to what the archive carries (the probe of the source).
+
+    With ``series=None``, a whole panel below ``series_id=<name>/`` folders in one scan.
+    """
+    payloads, own = _panel(spark, path, schemas.weather_payload(variables), series)
     first = hour_number(parse_ts_utc(F.get(F.col("hourly.time"), F.lit(0))))
     # Files that begin at the same hour are told apart by their path.
-    return flatten_weather_archive(payloads, F.lit(series), F.struct(first, F.input_file_name()))
+    return flatten_weather_archive(payloads, own, F.struct(first, F.input_file_name()))
 
 
 def read_feature_csv(

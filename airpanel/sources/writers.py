@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from airpanel.operators.relational import require_columns
@@ -42,12 +42,24 @@ def snapshot_table(spark: SparkSession, path: str, label: str, fmt: str = "parqu
 def export_features(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Key, times and raw pollutants of a feature table, for a trainer that recomputes the rest."""
     require_columns(df, [SERIES, ts, *POLLUTANTS])
-    if df.isEmpty():
-        raise RuntimeError("feature table is empty")
     return df.select(
         SERIES, F.col(ts).alias("fetched_at"), F.col(ts).alias("station_timestamp"), *POLLUTANTS)
 
 
+def write_export(df: DataFrame, path: str, ts: str = "ts", fmt: str = "parquet") -> None:
+    """Write the export in time order; an empty table is refused.
+
+    Rows are counted while they are written, so the input is computed once for the
+    rows (range partitioning samples it besides). A refused export leaves an empty folder.
+    """
+    seen = Observation()
+    ordered = (export_features(df, ts).repartitionByRange("fetched_at", SERIES)
+               .sortWithinPartitions("fetched_at", SERIES).observe(seen, F.count(F.lit(1)).alias("n")))
+    ordered.write.mode("overwrite").format(fmt).save(path)
+    if not seen.get["n"]:
+        raise RuntimeError("feature table is empty")
+
+
 def write_metrics(metrics: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer = metrics.write.mode("overwrite")
     if fmt == "csv":

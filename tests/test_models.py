@@ -90,11 +90,12 @@ def searched_alpha(x, y, n_splits):
     return linear.RIDGE_ALPHAS[int(np.argmax(np.mean(scores, axis=0)))]
 
 
-def test_ridge_equals_the_closed_form_in_every_fold(spark):
-    df, x, y = design(spark)
+@pytest.mark.parametrize("k", [4, 8, 12])
+def test_ridge_equals_the_closed_form_in_every_fold(spark, k):
+    df, x, y = design(spark, 400 if k == 4 else 900)
     fits = {r.fold: r for r in linear.fit_linear(
-        df, 4, 50, NAMES, ("ridge",), rows_per_split=40).collect()}
-    sizes = {0: len(y), **{f + 1: n for f, (n, _) in enumerate(splits(len(y), 4))}}
+        df, k, 50, NAMES, ("ridge",), rows_per_split=40).collect()}
+    sizes = {0: len(y), **{f + 1: n for f, (n, _) in enumerate(splits(len(y), k))}}
     assert set(fits) == set(sizes)
     for fold, n in sizes.items():
         alpha = searched_alpha(x[:n], y[:n], max(3, min(5, n // 40)))

@@ -140,10 +140,10 @@ def test_snapshot_and_sorted_table(spark, tmp_path, rows):
     assert all(a[1] < b[0] for a, b in zip(edges, edges[1:], strict=False))
 
 
-def test_export_refuses_empty_and_incomplete_tables(spark):
+def test_export_refuses_empty_and_incomplete_tables(spark, tmp_path):
     empty = hourly_with_ts(panel(spark, 10)).limit(0)
     with pytest.raises(RuntimeError):
-        writers.export_features(empty)
+        writers.write_export(empty, str(tmp_path / "export"))
     with pytest.raises(KeyError):
         writers.export_features(empty.drop("co"))
 
@@ -238,9 +238,84 @@ def test_a_series_too_far_behind_is_quarantined(spark, tmp_path, series):
     assert {r[0]: r[1] >= 480_300 for r in newest} == {"a": False, "b": True}
 
 
+def test_a_redelivery_does_not_open_the_gate(spark, tmp_path, series):
+    root = str(tmp_path / "store")
+    incremental.incremental_update(readings(series.filter(F.col(HOUR) < 480_250)), root, 0)
+    mixed = series.filter(F.col(HOUR).isin(480_150, 480_151, 480_320, 480_321))
+    incremental.incremental_update(readings(mixed), root, 1)
+    newest = store.read_feature_group(spark, root, incremental.OBSERVED, 1).agg(F.max(HOUR)).first()[0]
+    refused = store.read_feature_group(spark, root, incremental.QUARANTINE, 1)
+    assert newest < 480_250 and {r[0] for r in refused.select(SERIES).distinct().collect()} == {"a", "b"}
+
+
+def test_refused_hours_are_replayed_after_their_backfill(spark, tmp_path, series):
+    root = str(tmp_path / "store")
+    gap = F.col(HOUR).between(480_290, 480_309)
+    incremental.incremental_update(readings(series.filter(F.col(HOUR) < 480_290)), root, 0)
+    incremental.incremental_update(readings(series.filter(F.col(HOUR) >= 480_310)), root, 1)
+    incremental.replay_quarantine(spark, root, 2)
+    assert store.read_feature_group(spark, root, incremental.QUARANTINE, 1).count() > 0
+    incremental.incremental_update(readings(series.filter(gap)), root, 3)
+    incremental.replay_quarantine(spark, root, 4)
+    assert store.read_feature_group(spark, root, incremental.QUARANTINE, 1).count() == 0
+    assert_same(stored(spark, root), complete(spark_features(series)))
+
+
+def test_upserted_blanks_take_stored_features_away(spark, tmp_path, series):
+    root = str(tmp_path / "store")
+    blank = F.col(HOUR).between(480_250, 480_257)
+    blanked = series.select(SERIES, HOUR, *[F.when(~blank, F.col(c)).alias(c) for c in POLLUTANTS])
+    incremental.incremental_update(readings(series), root, 0)
+    before = len(stored(spark, root))
+    incremental.incremental_update(readings(blanked.filter(blank)), root, 1, policy="upsert")
+    assert len(stored(spark, root)) < before
+    assert_same(stored(spark, root), complete(spark_features(blanked)))
+
+
 def test_gap_actions(spark, rows):
     df = spark.createDataFrame(
         [("a", h, *[1.0] * 6) for h in (0, 2, 6, 11, 30)],
         f"{SERIES} STRING, {HOUR} BIGINT, " + ", ".join(f"{c} DOUBLE" for c in POLLUTANTS))
     assert rows(incremental.heal_gaps(df), "after_hr", "gap_hours", "action", "n_filled") == [
         (0, 1, "healed", 1), (11, 18, "refused", 0), (2, 3, "healed", 3), (6, 4, "partial", 3)]
+
+
+def test_export_is_in_time_order(spark, tmp_path):
+    path = str(tmp_path / "export")
+    writers.write_export(hourly_with_ts(panel(spark, 40)), path)
+    spans = (spark.read.parquet(path).groupBy(F.input_file_name())
+             .agg(F.min("fetched_at").alias("a"), F.max("fetched_at").alias("b"), F.count("*")).orderBy("a").collect())
+    assert all(x.b <= y.a for x, y in zip(spans, spans[1:], strict=False))
+
+
+def test_panel_of_histories_in_one_scan(spark, tmp_path):
+    for name, value in (("Lagoon", 5), ("Harbour", 7)):
+        folder = tmp_path / "panel" / f"{SERIES}={name}"
+        folder.mkdir(parents=True)
+        (folder / "0.json").write_text(json.dumps({"list": [
+            {"dt": 1772424000, "main": {"aqi": 1}, "components": {"pm2_5": value}}]}))
+    got = {r[SERIES]: r.pm25 for r in readers.read_history(spark, str(tmp_path / "panel"), None).collect()}
+    assert got == {"Lagoon": 5.0, "Harbour": 7.0}
+
+
+def test_long_weather_payloads_keep_their_order(spark, tmp_path):
+    def payload(n, value):
+        hours = [datetime.fromtimestamp(1_600_000_000 // 3600 * 3600 + 3600 * i, timezone.utc).strftime("%Y-%m-%dT%H:%M") for i in range(n)]
+        return {"hourly": {"time": hours, "temperature_2m": [value] * n}}
+
+    folder = tmp_path / "archive" / f"{SERIES}=Lagoon"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text(json.dumps(payload(20_000, 1.0)))
+    (folder / "b.json").write_text(json.dumps(payload(20_100, 2.0)))
+    got = readers.read_weather_archive(spark, str(tmp_path / "archive"), None, ["temperature_2m"])
+    counts = {r.temperature_2m: r["count"] for r in got.groupBy("temperature_2m").count().collect()}
+    assert counts == {1.0: 20_000, 2.0: 100} and got.select(SERIES).distinct().collect()[0][0] == "Lagoon"
+
+
+def test_live_rows_win_whatever_the_sequence(spark):
+    from airpanel.operators.dedupe import dedupe_hour_prefer_live
+
+    rows = [("a", 1, (1 << 62) + 5, True, 1.0), ("a", 1, 3, False, 2.0), ("a", 1, -7, False, 3.0), ("b", 1, (1 << 63) - 1, True, 4.0)]
+    df = spark.createDataFrame(rows, f"{SERIES} string, {HOUR} long, ingest_seq long, is_backfilled boolean, pm25 double")
+    got = {r[SERIES]: r.pm25 for r in dedupe_hour_prefer_live(df, [SERIES, HOUR]).collect()}
+    assert got == {"a": 2.0, "b": 4.0}
