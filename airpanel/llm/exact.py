@@ -157,8 +157,10 @@ def recipes(docs: DataFrame, bits: int = 64) -> DataFrame:
 
 def exact_groups(docs: DataFrame, bits: int = 64) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    listed = recipes(docs, bits)
-    groups = listed.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    listed = stored(recipes(docs, bits), "exact-recipes")
+    # A table of its own, so that the join below is one that Spark can split where a group is large.
+    groups = stored(listed.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")),
+                    "exact-groups")
     return listed.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
