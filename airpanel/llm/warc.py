@@ -93,10 +93,10 @@ def with_revisits(pages: DataFrame) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
         _payload(pages).alias("html")).withColumn("digest", F.sha2("html", 256))
     large = F.octet_length("html") >= REVISIT_BYTES
-    # Page and payload meet under the digest once; a payload that many pages share is merged before it moves.
-    first = (ready.where(large).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("digest", "first_id"))
-    # No row with an own response is copied here, so only pages that share a payload find a partner.
+    # Shared digests are found from digests alone, and stored, so that Spark can split the join of a payload
+    # that many pages share. The pages themselves move once.
+    first = stored(ready.where(large).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+                   .where("n > 1").select("digest", "first_id"), "warc-shared")
     again = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return ready.join(first, "digest", "left").select(
         "page_id", "url", "html", "digest", again.alias("revisit"), F.when(again, F.col("first_id")).alias("refers_to"))
