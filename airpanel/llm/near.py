@@ -319,7 +319,7 @@ def _grouped(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     per_set = (rows_only.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
                .join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id")))
     labels = per_set.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = per_set.join(labels, "component").select("set_id", "component_id")
+    named = per_set.join(labels, "component").select("set_id", "component", "component_id")
     return rows_only.join(named, "set_id", "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
 
@@ -331,15 +331,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` that stay: one per group of near copies, that with the smallest doc_id; all columns as they are."""
+    """The rows of ``docs`` that stay: one per group of near copies, all columns as they are.
+
+    A group is a component of linked sets, whatever its ids: of each the row with the smallest doc_id stays, a null id last
+    and equal ids by the hash of the text. Every row without words stays.
+    """
     own_key, nth = unused(docs, "own_key", "nth")
-    stay = (_grouped(docs, words, num, den).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.struct("doc_id", "text_key").alias("key"), "component_id", "n_shingles"))
-    # A repeated id may bring several texts into one group: one of them, or every text without words, is kept.
-    best = Window.partitionBy("component_id").orderBy(F.col("n_shingles") == 0, "key")
-    stay = (stay.withColumn("first", F.row_number().over(best)).where("first = 1 OR n_shingles = 0")
-            .select(F.col("key").alias(own_key)).distinct())
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first")
+    stay = (_grouped(docs, words, num, den).where("n_shingles > 0").groupBy("component").agg(first)
+            .select(F.struct("first.doc_id", "first.text_key").alias(own_key)))
     own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_key"))
     again = Window.partitionBy(own_key).orderBy(own_key)
-    return (docs.withColumn(own_key, own).join(stay, own_key).withColumn(nth, F.row_number().over(again))
+    worded = text_or_empty().rlike(r"[^\x20\x09-\x0D]")
+    ones = (docs.where(worded).withColumn(own_key, own).join(stay, own_key).withColumn(nth, F.row_number().over(again))
             .where(F.col(nth) == 1).select(*docs.columns))
+    return ones.union(docs.where(~worded))

@@ -92,6 +92,17 @@ def test_dropping_keeps_one_row_of_each_group(documents):
     assert sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(map(repr, want))
 
 
+def test_dropping_goes_by_links_and_not_by_ids(documents):
+    rng = random.Random(8)
+    text = lambda n=60: " ".join(f"v{rng.randrange(10 ** 6)}" for _ in range(n))
+    alone, pair, mixed = [text() for _ in range(6)], text(100), text(100)
+    stay = [(None, t) for t in alone[:4]] + [(5, t) for t in alone[4:]] + [(None, " "), (None, " "), (None, None), (5, "")]
+    groups = [[(None, pair), (None, pair + " end")], [(None, mixed), (6, mixed + " end"), (5, mixed + " stop")]]
+    kept = [(r.doc_id, r.text) for r in drop_near_copies(documents(stay + sum(groups, []))).collect()]
+    assert [len(set(g) & set(kept)) for g in groups] == [1, 1] and groups[1][2] in kept
+    assert sorted(map(repr, (r for r in kept if r not in sum(groups, [])))) == sorted(map(repr, stay))
+
+
 def test_empty_table(documents):
     assert near_duplicates(documents([])).collect() == [] and drop_near_copies(documents([])).collect() == []
 
