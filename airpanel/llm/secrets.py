@@ -3,7 +3,8 @@
 Base spans follow three patterns (``assign``, ``access``, ``hex``). The method adds ``novel`` spans: a long token with a
 sensitive word close before it is measured by its marginal compressed size, that is, the zstandard bytes of its
 surroundings with the token less those without it, both primed with a dictionary of identifiers. Words and identifiers
-repeat the dictionary or the text around them and cost little; random strings cost nearly their entropy.
+repeat the dictionary or the text around them and cost little; random strings cost nearly their entropy. The value of
+``name=value`` is a token of its own, and other copies of a token do not count as its surroundings.
 
 Defined results: null text counts as empty and has no spans; positions are code points, ends exclusive; equal rows
 get equal results; a token that overlaps a base span is not reported again; texts of any length are read whole.
@@ -41,6 +42,7 @@ AROUND_CHARS = 400       # text on each side of a token that may explain it
 NOVEL_CHARS = 16         # shortest token that is measured
 BITS_PER_CHAR = 4.0      # marginal bits per character from which a token is novel
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % NOVEL_CHARS)
+_PART = re.compile(r"[A-Za-z0-9+/_-]+(?:=+(?![A-Za-z0-9+/_=-]))?")  # between the '=' of a token, with the padding at its end
 
 # Identifiers that code and prose about code are made of.
 IDENTIFIERS = (
@@ -94,18 +96,29 @@ def base_spans(text: str, assign: bool = True, access: bool = True, hexes: bool
     return found
 
 
+def _measured(text: str, start: int, end: int, base: list[tuple[int, int, int]], novelty: Novelty) -> bool:
+    """Whether a string in sensitive context, apart from base spans, is novel."""
+    if end - start < NOVEL_CHARS or not CONTEXT.search(text, max(0, start - CONTEXT_CHARS), start):
+        return False
+    if any(a < end and start < b for _, a, b in base):
+        return False
+    token = text[start:end]
+    # Copies explain nothing; wider by one copy, so that none is cut at the border.
+    copy, wide = token.rstrip("="), AROUND_CHARS + len(token)
+    before = text[max(0, start - wide):start].replace(copy, "")[-AROUND_CHARS:]
+    after = text[end:end + wide].replace(copy, "")[:AROUND_CHARS]
+    return novelty.bytes(before, token, after) * 8 >= BITS_PER_CHAR * len(token)
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -> list[tuple[int, int, int]]:
     found = []
     for m in _TOKEN.finditer(text):
-        start, end = m.span()
-        if not CONTEXT.search(text, max(0, start - CONTEXT_CHARS), start):
-            continue
-        if any(a < end and start < b for _, a, b in base):
-            continue
-        token = m.group()
-        cost = novelty.bytes(text[max(0, start - AROUND_CHARS):start], token, text[end:end + AROUND_CHARS])
-        if cost * 8 >= BITS_PER_CHAR * len(token):
-            found.append((3, start, end))
+        # Values of name=value without blanks; the whole token if none is novel.
+        parts = [p.span() for p in _PART.finditer(text, *m.span())]
+        novel = [p for p in parts if _measured(text, *p, base, novelty)]
+        if not novel and parts != [m.span()] and _measured(text, *m.span(), base, novelty):
+            novel = [m.span()]
+        found += [(3, *p) for p in novel]
     return found
 
 

@@ -52,6 +52,20 @@ def test_novel_strings_in_sensitive_context_only(documents):
     assert f"novel:{start}:{start + 40}" in found[10].spans.split(",")
 
 
+def test_values_without_blanks_and_repeated_secrets(documents):
+    names = ["access_key", "DB_PWD", "private_key", "signature", "auth", "--credential", "x=1/auth"]
+    texts = [f"set {name}={RANDOM}{end} here" for name in names for end in ("", "==")]
+    near, edge = f"auth: {RANDOM} and auth: {RANDOM} end", f"auth: {RANDOM} " + "word " * 76 + f"auth: {RANDOM}"
+    plain = ["load the configuration and read auth=configuration_parameter_environment_variable and go on", "level=" + RANDOM]
+    found = {r.doc_id: r.spans for r in secrets(documents(list(enumerate(texts + [near, edge] + plain)))).collect()}
+    for i, text in enumerate(texts):
+        start = text.index(RANDOM)
+        assert found[i] == f"novel:{start}:{len(text) - 5}"
+    for i, text in ((len(texts), near), (len(texts) + 1, edge)):
+        assert found[i] == ",".join(f"novel:{m.start()}:{m.end()}" for m in re.finditer(RANDOM, text))
+    assert found[len(texts) + 2] == found[len(texts) + 3] == ""
+
+
 def test_novelty_tells_random_strings_from_names():
     novelty = Novelty()
     around = "load the configuration and read "
