@@ -289,11 +289,11 @@ def l1(t: Tables) -> DataFrame:
 
 @query("l2_attribution")
 def l2(t: Tables) -> DataFrame:
-    """Mean absolute attribution of the ridge fit at +24 h on a hash sample, around training means, per series."""
+    """Mean absolute attribution of the ridge fit at +24 h over all rows, around their means, per series."""
     rows = long_rows(t, [24]).persist()
     fits = linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=("ridge",)).filter("fold = 0")
     return explain.mean_abs_attribution(
-        explain.linear_attribution(sample_rows(rows, 1500), fits, HOURLY_FEATURES, background=rows),
+        explain.linear_attribution(rows, fits, HOURLY_FEATURES),
         [SERIES, "horizon", "feature"])
 
 
@@ -319,7 +319,7 @@ def l3_attribution(t: Tables) -> DataFrame:
     """How linear the ridge attributions at +24 h are in their features, per series: by construction r2 is 1."""
     rows = long_rows(t, [24]).persist()
     fits = linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=("ridge",)).filter("fold = 0")
-    long = explain.linear_attribution(sample_rows(rows, 1500), fits, HOURLY_FEATURES, background=rows)
+    long = explain.linear_attribution(rows, fits, HOURLY_FEATURES)
     return explain.response_linearity(long, [SERIES, "horizon", "feature"])
 
 
