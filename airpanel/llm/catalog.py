@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airpanel.llm.exact import exact_groups
 from airpanel.llm import language
+from airpanel.llm.merkle import digest, fold, leaf, manifest, proof_text
 from airpanel.llm.mixing import mixed
 from airpanel.llm.near import near_duplicates
+from airpanel.llm.periodic import periodic_runs, run_lines, strongest
 from airpanel.llm.pieces import encoding_report
 from airpanel.llm.quality import RULES, STOP_WORDS, quality
 from airpanel.llm.secrets import secrets
+from airpanel.llm.topk import quantised, top_k
 from airpanel.llm.toolcalls import ANSWER, from_conversations, linked
 from airpanel.llm.toxicity import toxicity
 from airpanel.llm.warc import archive_folder, read_warc, write_warc
@@ -162,3 +165,99 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn as canonical JSON; a user's turn is a call that the next assistant turn answers."""
     return linked(*from_conversations(_table(spark, sf_dir, "conversations")), ANSWER)
+
+
+def _crc(name: str) -> Column:
+    """Unsigned crc32 of a decimal number; null for null."""
+    return F.crc32(F.col(name).cast("string").cast("binary"))
+
+
+def _repeating(name: str) -> Column:
+    """The text of the rows, where a tenth of them repeat some of their words up to their end."""
+    words = F.filter(F.split(F.col("text"), SPACE), lambda w: w != "")
+    n, h = F.size(words), _crc(name)
+    g = F.expr(f"crc32(CAST(CAST({name} AS STRING) AS BINARY)) div 10")
+    a = (g % n).cast("int")
+    period = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, period), F.ceil((n - a) / period).cast("int")))
+    made = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+    return F.when((h % 10 == 0) & F.col("text").rlike(WORD), made).otherwise(F.col("text"))
+
+
+@_query("op11_periodic_runs")
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document."""
+    found = periodic_runs(_table(spark, sf_dir, "documents"), _repeating("doc_id"))
+    best = found.withColumn("best", strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        digest(run_lines(F.col("runs"))).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"), "n_words")
+
+
+@_query("op12_topk_search", """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_dot_product(q.w, c.w)::BIGINT AS score, c.rid AS cid
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.rid <> c.rid),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST, cid) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every fiftieth vector."""
+    rows = quantised(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    best = top_k(rows, F.col("id") % 50 == 0, k=5)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
+
+
+def _field_sql(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def _leaf_sql(n_chars: str = "n_chars") -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", f"({n_chars})", "text")) + ")"
+
+
+# crc32 bit by bit: each byte is followed by eight shifts.
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+
+
+@_query("op13_merkle_manifest", f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, {_leaf_sql()} AS leaf,
+         CASE WHEN {_CRC_SQL} % 7 = 0 THEN {_leaf_sql('n_chars + 1')} END AS changed FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+             count(*) OVER (PARTITION BY lang) AS n, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM d),
+low AS (SELECT tree, 0 AS lvl, idx, n, leaf AS h FROM o UNION ALL
+        SELECT tree, lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM low
+        WHERE n > 1 GROUP BY tree, lvl, n, idx // 2),
+top AS (SELECT 0 AS lvl, tree AS idx, (SELECT count(*) FROM low WHERE n = 1) AS n, h FROM low WHERE n = 1 UNION ALL
+        SELECT lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY idx)) FROM top
+        WHERE n > 1 GROUP BY lvl, n, idx // 2),
+steps AS (SELECT o.rid, s.lvl, s.h, s.idx % 2 AS slot FROM o JOIN low s
+            ON s.tree = o.tree AND s.n > 1 AND s.idx = xor(o.idx >> s.lvl, 1) UNION ALL
+          SELECT o.rid, 1000 + s.lvl, s.h, s.idx % 2 FROM o JOIN top s ON s.n > 1 AND s.idx = xor(o.tree >> s.lvl, 1)),
+paths AS (SELECT rid, string_agg(h, '' ORDER BY lvl) AS proof, list(h ORDER BY lvl) AS hs, list(slot ORDER BY lvl) AS slots,
+                 list(lvl ORDER BY lvl) AS lvls FROM steps GROUP BY rid),
+every AS (SELECT tree, lvl, 0 AS up FROM low WHERE n > 1 AND idx = 0 UNION ALL
+          SELECT t.tree, 1000 + s.lvl, 1 FROM (SELECT DISTINCT tree FROM o) t, top s WHERE s.n > 1 AND s.idx = 0),
+heights AS (SELECT tree, list(lvl ORDER BY lvl) AS all_lvls FROM every GROUP BY tree),
+f AS (SELECT o.*, p.proof, low.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root,
+             list_reduce(list_prepend(coalesce(o.changed, o.leaf), list_transform(coalesce(t.all_lvls, []), lambda l:
+               CASE WHEN list_position(p.lvls, l) IS NULL THEN '-'
+                    ELSE (CASE p.slots[list_position(p.lvls, l)] WHEN 0 THEN '<' ELSE '>' END) || p.hs[list_position(p.lvls, l)] END)),
+               lambda a, x: sha256(CASE x[1] WHEN '-' THEN a WHEN '<' THEN x[2:] || a ELSE a || x[2:] END)) AS folded_root
+      FROM o LEFT JOIN paths p USING (rid) LEFT JOIN heights t USING (tree) JOIN low ON low.tree = o.tree AND low.n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM f
+""")
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the documents, and what a changed length does to it."""
+    fields = lambda n_chars: [F.col(c) for c in ("doc_id", "source", "lang")] + [n_chars, F.col("text")]
+    changed = F.when(_crc("doc_id") % 7 == 0, leaf(fields(F.col("n_chars") + 1)))
+    made = manifest(_table(spark, sf_dir, "documents"), fields(F.col("n_chars")), "lang", "doc_id", also={"changed": changed})
+    folded = made.withColumn("folded_root", fold(F.coalesce("changed", "leaf"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", digest(proof_text(F.col("path"))).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
