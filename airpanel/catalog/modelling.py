@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airpanel.catalog import sqltext as S
@@ -13,10 +13,11 @@ from airpanel.models.evaluate import CELL
 from airpanel.operators import timegrid
 from airpanel.operators.features import (
     add_hourly_features, daily_frame, daily_training_rows, training_rows)
-from airpanel.operators.relational import candidate_rows, sample_rows
+from airpanel.operators.relational import candidate_rows, latest_row
 from airpanel.plans import serving, training
 from airpanel.schemas import (
     DAILY_FEATURES, HOUR, HOURLY_FEATURES, METRICS, REPORT_HORIZONS, SERIES)
+from airpanel.session import stored
 from airpanel.sources import store, writers
 
 FOLDS, MIN_TRAIN = 4, 100  # a month of hours per series: smaller training sets than in production
@@ -253,53 +254,100 @@ def m11(t: Tables) -> DataFrame:
     return linear.standardise(rows, ["aqi", "aqi_roll24", "pm10"], [SERIES])
 
 
-def _linear_metrics(t: Tables, model: str, horizons: list[int]) -> DataFrame:
-    rows = training_rows(hourly_features(t).persist(), horizons=horizons)
-    fits = linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=(model,))
-    return evaluate.fold_summary(training.linear_scores(
-        rows, fits, FOLDS, MIN_TRAIN, HOURLY_FEATURES, (model,), HOUR,
-        evaluate.HOURLY_CANDIDATES))
+def _fits(t: Tables, model: str) -> tuple[DataFrame, DataFrame]:
+    """(fold frame, fits of one linear model on every horizon and fold)."""
+    folded = stored(evaluate.expanding_folds(long_rows(t), FOLDS, MIN_TRAIN), "folds")
+    return folded, stored(linear.fit_folds(folded, FOLDS, MIN_TRAIN, models=(model,)), "fits")
+
+
+def _linear_metrics(t: Tables, model: str) -> DataFrame:
+    """Cross-validated errors of one linear model; the penalty search has no SQL form."""
+    folded, fits = _fits(t, model)
+    test, _ = training.candidate_predictions(folded, fits, fits, (model,), ())
+    return evaluate.fold_summary(evaluate.score(test, {model: F.col(model)}, evaluate.HOURLY_CANDIDATES))
 
 
 @query("m5_ridge")
 def m5(t: Tables) -> DataFrame:
-    """Cross-validated ridge on every horizon; penalty search has no SQL form."""
-    return _linear_metrics(t, "ridge", S.HORIZONS)
+    """Cross-validated ridge on every horizon."""
+    return _linear_metrics(t, "ridge")
 
 
 @query("m6_elastic_net")
 def m6(t: Tables) -> DataFrame:
-    return _linear_metrics(t, "elastic_net", REPORT_HORIZONS)
+    """Cross-validated elastic net on every horizon."""
+    return _linear_metrics(t, "elastic_net")
+
+
+def _certificate_sql(model: str) -> str:
+    """Sizes of all training sets that are large enough; every fit on them has to be an optimum."""
+    sizes = " UNION ALL ".join(
+        f"SELECT series_id, horizon, {f} AS fold, count(*) AS n_train FROM fd WHERE {f'block < {f}' if f else 'TRUE'} "
+        "GROUP BY series_id, horizon" for f in range(FOLDS + 1))
+    return (f"{_LONG} SELECT series_id, horizon, CAST(fold AS INTEGER) AS fold, '{model}' AS model, n_train, TRUE AS holds "
+            f"FROM ({sizes}) WHERE n_train >= {MIN_TRAIN}")
+
+
+def _certified(t: Tables, model: str, tolerance: float) -> DataFrame:
+    folded, fits = _fits(t, model)
+    return linear.certificate(folded, fits, HOURLY_FEATURES, tolerance).drop("worst")
+
+
+@query("m5_ridge_certificate", sql=_certificate_sql("ridge"))
+def m5_certificate(t: Tables) -> DataFrame:
+    """The normal equations of every ridge fit, checked on its training rows."""
+    return _certified(t, "ridge", 1e-6)
+
+
+@query("m6_elastic_net_certificate", sql=_certificate_sql("elastic_net"))
+def m6_certificate(t: Tables) -> DataFrame:
+    """The subgradient conditions of every elastic-net fit, checked on its training rows, within its tolerance."""
+    return _certified(t, "elastic_net", 1e-3)
 
 
 @query("m5_ridge_daily")
 def m5_daily(t: Tables) -> DataFrame:
-    scores, _ = training.evaluate_daily(t.daily_readings())
-    return evaluate.fold_summary(scores)
+    return evaluate.fold_summary(_daily_panel(t, {}).scores)
 
 
 @query("l1_coefficient_table")
 def l1(t: Tables) -> DataFrame:
     """Standardised ridge coefficients at the report horizons, one column per horizon."""
     fits = linear.fit_linear(long_rows(t, REPORT_HORIZONS), FOLDS, MIN_TRAIN, models=("ridge",))
-    long = linear.coefficient_table(fits, HOURLY_FEATURES)
+    return _pivoted(linear.coefficient_table(fits, HOURLY_FEATURES))
+
+
+def _pivoted(long: DataFrame) -> DataFrame:
     return (long.groupBy(SERIES, "position", "feature").pivot("horizon", REPORT_HORIZONS)
             .agg(F.first("value")).orderBy(SERIES, "position"))
 
 
+_GIVEN = ["aqi_diff1", "aqi_minus_roll24", "aqi_minus_roll168", "aqi_minus_hourly_norm"]
+
+
+@query("l1_table_of_given_coefficients", floats='"24" "48" "72"', sql=f"""
+{_LONG} SELECT series_id, CAST(position AS INTEGER) AS position, feature, {', '.join(
+    f'max(value) FILTER (horizon = {h}) AS "{h}"' for h in REPORT_HORIZONS)} FROM ({' UNION ALL '.join(
+    f"SELECT series_id, horizon, {i} AS position, '{c}' AS feature, corr({c}, delta) AS value FROM fd GROUP BY ALL"
+    for i, c in enumerate(_GIVEN))}) GROUP BY ALL""")
+def l1_given(t: Tables) -> DataFrame:
+    """The table of one-feature coefficients, which are correlations, at the report horizons."""
+    fits = long_rows(t, REPORT_HORIZONS).groupBy(*CELL).agg(
+        F.array(*[F.corr(c, "delta") for c in _GIVEN]).alias("standardised"))
+    return _pivoted(linear.coefficient_table(
+        fits.withColumns({"fold": F.lit(0), "model": F.lit("ridge")}), _GIVEN))
+
+
 @query("l2_attribution")
 def l2(t: Tables) -> DataFrame:
     """Mean absolute attribution of the ridge fit at +24 h over all rows, around their means, per series."""
-    rows = long_rows(t, [24]).persist()
+    rows = stored(long_rows(t, [24]), "rows")
     fits = linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=("ridge",)).filter("fold = 0")
     return explain.mean_abs_attribution(
         explain.linear_attribution(rows, fits, HOURLY_FEATURES),
         [SERIES, "horizon", "feature"])
 
 
-_GIVEN = ["aqi_diff1", "aqi_minus_roll24", "aqi_minus_roll168", "aqi_minus_hourly_norm"]
-
-
 @query("l2_attribution_of_given_weights", floats="mean_abs", sql=f"""
 {_LONG} SELECT series_id, horizon, feature, avg(abs(w * (x - m))) AS mean_abs FROM ({' UNION ALL '.join(
     f"SELECT series_id, horizon, '{c}' AS feature, {i + 1}.0::DOUBLE AS w, CAST({c} AS DOUBLE) AS x, "
@@ -316,10 +364,9 @@ def l2_given(t: Tables) -> DataFrame:
 
 @query("l3_attribution_linearity")
 def l3_attribution(t: Tables) -> DataFrame:
-    """How linear the ridge attributions at +24 h are in their features, per series: by construction r2 is 1."""
-    rows = long_rows(t, [24]).persist()
-    fits = linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=("ridge",)).filter("fold = 0")
-    long = explain.linear_attribution(rows, fits, HOURLY_FEATURES)
+    """How linear the boosted trees' response to each feature is, per series and horizon, over all rows."""
+    rows, models = _boosted_on_everything(t)
+    long = explain.tree_attribution(rows, models, HOURLY_FEATURES)
     return explain.response_linearity(long, [SERIES, "horizon", "feature"])
 
 
@@ -351,71 +398,224 @@ def e8_targets(t: Tables) -> DataFrame:
 
 @query("e8_shuffled_target_control")
 def e8(t: Tables) -> DataFrame:
-    """Ridge on permuted targets: its delta_r2 has to stay near or below zero."""
-    rows = evaluate.shuffled_targets(long_rows(t, [24])).persist()
-    fits = linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=("ridge",))
+    """Ridge on permuted targets, every horizon: its delta_r2 has to stay near or below zero."""
+    rows = stored(evaluate.shuffled_targets(long_rows(t)), "shuffled")
+    fits = stored(linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=("ridge",)), "fits")
     return evaluate.fold_summary(training.linear_scores(
         rows, fits, FOLDS, MIN_TRAIN, HOURLY_FEATURES, ("ridge",), HOUR,
         evaluate.HOURLY_CANDIDATES))
 
 
-def _final_models(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    features = hourly_features(t).persist()
-    scores, fits = training.evaluate_hourly(features, training.HourlyConfig(
-        cutoff=None, folds=FOLDS, min_train=MIN_TRAIN, linear_models=("ridge",)))
-    summary = evaluate.fold_summary(scores).persist()
-    models = training.final_models(summary, training_rows(features), fits, CONFIG)
-    return features, summary, models
+# -- the panel of all candidates --------------------------------------------------------------
+
+def _panel(t: Tables, features: DataFrame | None = None) -> training.Panel:
+    return training.evaluate_hourly(hourly_features(t) if features is None else features, CONFIG)
+
+
+def _daily_panel(t: Tables, tree_models: dict | None = None) -> training.Panel:
+    return training.evaluate_daily(t.daily_readings(), tree_models=tree_models)
+
+
+def _counts_sql(chain: str, folded: str, models: list[str]) -> str:
+    """Rows of every candidate in a complete panel."""
+    names = ", ".join(f"('{m}')" for m in models)
+    return f"""{chain}, ts AS (SELECT series_id, horizon, block, any_value(n_rows) AS n_rows, count(*) AS n FROM {folded}
+  WHERE is_scored GROUP BY ALL)
+SELECT series_id, horizon, model, any_value(n_rows) AS n_rows, count(*) AS n_folds, TRUE AS is_complete
+FROM ts, (VALUES {names}) AS c(model) GROUP BY series_id, horizon, model"""
+
+
+def _counted(scores: DataFrame) -> DataFrame:
+    known = F.col("rmse").isNotNull() & F.col("mae").isNotNull() & F.col("r2").isNotNull() & F.col("delta_r2").isNotNull()
+    return scores.groupBy(*CELL, "model").agg(
+        F.first("n_rows").alias("n_rows"), F.count("*").alias("n_folds"), F.bool_and(known).alias("is_complete"))
+
+
+@query("e3_candidate_panel", sql=_counts_sql(_LONG, "fd", evaluate.HOURLY_CANDIDATES))
+def e3_panel(t: Tables) -> DataFrame:
+    """All eight hourly candidates on every horizon and fold: what the table of scores holds."""
+    return _counted(_panel(t).scores)
+
+
+@query("e3_candidate_metrics")
+def e3_metrics(t: Tables) -> DataFrame:
+    """The scores of all eight hourly candidates."""
+    return evaluate.fold_summary(_panel(t).scores)
+
+
+@query("e3_candidate_panel_daily", sql=_counts_sql(_DLONG, "dfd", evaluate.DAILY_CANDIDATES))
+def e3_panel_daily(t: Tables) -> DataFrame:
+    """All five daily candidates, forest included, on every horizon and fold."""
+    return _counted(_daily_panel(t).scores)
+
+
+@query("e3_skipped_cells", sql=f"""
+{_LONG}, asked AS (SELECT s.series_id, h.horizon FROM (SELECT DISTINCT series_id FROM ft) s,
+  (VALUES {', '.join(f'({h})' for h in S.HORIZONS)}) AS h(horizon)),
+n AS (SELECT a.series_id, a.horizon, count(l.series_id) AS n_rows FROM asked a
+  LEFT JOIN lg l ON l.series_id = a.series_id AND l.horizon = a.horizon GROUP BY ALL)
+SELECT series_id, CAST(horizon AS INTEGER) AS horizon, n_rows, 'only ' || n_rows || ' usable rows' AS reason FROM n WHERE n_rows < 2 * 215""")
+def e3_skipped(t: Tables) -> DataFrame:
+    """Series and horizons with too few rows, and why, if a training set needs 215."""
+    features = hourly_features(t)
+    return evaluate.skipped_cells(features, training_rows(features), S.HORIZONS, FOLDS, 215)
+
+
+def _winners(t: Tables) -> tuple[DataFrame, training.Panel, DataFrame]:
+    """(features, panel, final models of the winners among all candidates)."""
+    features = stored(hourly_features(t), "features")
+    panel = _panel(t, features)
+    return features, panel, stored(training.final_models(panel, MIN_TRAIN, CONFIG.tree_models), "final")
+
+
+_PARAMETERS = {
+    "damped_reversion": "k", "damped_persistence": "k", "ridge": "weights", "elastic_net": "weights",
+    "hist_gbr": "trees", "boosted_residual": "trees", "ensemble": "trees", "random_forest": "trees"}
+
+
+def _has_parameters() -> Column:
+    """Whether a final model has what its kind needs."""
+    held = F.lit(True)
+    for model, column in _PARAMETERS.items():
+        held = F.when(F.col("model") == model, F.col(column).isNotNull()).otherwise(held)
+    on_linear = F.when(F.col("model").isin(*training.LINEAR_PART), F.col("weights").isNotNull()).otherwise(True)
+    return held & on_linear
 
 
 @query("e7_fit_final")
 def e7(t: Tables) -> DataFrame:
-    """Winner per series and horizon among baselines and ridge, refitted on all rows."""
-    return _final_models(t)[2].drop("weights")
+    """Winner per series and horizon among all eight candidates, refitted on all rows."""
+    return _winners(t)[2].select(
+        SERIES, "horizon", "model", "n_train", "k", "alpha", "l1_ratio", "intercept", F.size("trees.roots").alias("n_trees"))
+
+
+@query("e7_final_counts", sql=f"""
+{_LONG} SELECT series_id, horizon, count(*) AS n_train, TRUE AS is_fitted FROM fd GROUP BY series_id, horizon""")
+def e7_counts(t: Tables) -> DataFrame:
+    """One model per series and horizon, fitted on all complete rows, with the parameters of its kind."""
+    return _winners(t)[2].select(SERIES, "horizon", "n_train", _has_parameters().alias("is_fitted"))
+
+
+@query("e7_final_counts_daily", sql=f"""
+{_DLONG} SELECT series_id, horizon, count(*) AS n_train, TRUE AS is_fitted FROM dfd GROUP BY series_id, horizon""")
+def e7_counts_daily(t: Tables) -> DataFrame:
+    final = training.final_models(_daily_panel(t), evaluate.MIN_TRAIN_DAILY, trees.DAILY_TREES, training.DAILY)
+    return final.select(SERIES, "horizon", "n_train", _has_parameters().alias("is_fitted"))
 
 
 @query("s11_register_models")
 def s11(t: Tables) -> DataFrame:
-    _, summary, models = _final_models(t)
-    registry = store.register_models(
-        models, evaluate.registry_metrics(summary), t.folder("registry"))
-    return registry.select(
-        SERIES, "horizon", "name", "model", "target",
-        F.col("metrics")["rmse"].alias("rmse"), F.size("metrics").alias("n_metrics"))
+    """The winners among all candidates, registered and read back with their metrics."""
+    _, panel, models = _winners(t)
+    root = t.folder("registry")
+    marked = evaluate.select_models(evaluate.fold_summary(panel.scores), mark=True)
+    store.register_models(models, evaluate.registry_metrics(marked), root)
+    return store.read_registry(t.spark, root).select(
+        SERIES, "horizon", "name", "model", "target", F.col("metrics")["rmse"].alias("rmse"),
+        F.size("metrics").alias("n_metrics"), F.size("trees.roots").alias("n_trees"), "version")
+
+
+@query("s11_registry_versions", floats="rmse", sql=f"""
+{_WINNER} SELECT series_id, horizon, 'aqi_hourly_h' || horizon AS name, model, rmse, 3 AS n_metrics, CAST(v AS INTEGER) AS version
+FROM wn, (VALUES (1), (2)) AS x(v) WHERE v = 2 OR horizon <= 24""")
+def s11_versions(t: Tables) -> DataFrame:
+    """Two registrations of the baselines' winners, the first of the near horizons only, both read back."""
+    summary = stored(metrics(t), "metrics")
+    winners = evaluate.pick_winner(summary).select(*CELL, "model")
+    root = t.folder("registry")
+    best = evaluate.registry_metrics(summary)
+    first = store.register_models(winners.where("horizon <= 24"), best, root)
+    store.register_models(winners, best, root)
+    both = store.read_registry(t.spark, root, first).unionByName(store.read_registry(t.spark, root))
+    return both.select(SERIES, "horizon", "name", "model", F.col("metrics")["rmse"].alias("rmse"),
+                       F.size("metrics").alias("n_metrics"), "version")
 
 
 # -- tree models ----------------------------------------------------------------------------
 
-def _tree_scores(t: Tables) -> DataFrame:
-    rows = long_rows(t, [24]).persist()
-    fits = linear.fit_linear(rows, FOLDS, MIN_TRAIN, models=("ridge",))
-    return training.tree_scores(rows, fits, CONFIG, 24, FOLDS, rounds=20, residual_rounds=20)
-
-
 @query("m7_m8_m9_boosted_models")
 def m789(t: Tables) -> DataFrame:
-    """Boosting, boosting on ridge residuals and their ensemble: +24 h, last fold, 20 rounds."""
-    return _tree_scores(t)
+    """Boosting, boosting on ridge residuals and their ensemble: every horizon and fold, up to 500 and 300 rounds."""
+    return _panel(t).scores.filter(F.col("model").isin("hist_gbr", "boosted_residual", "ensemble"))
+
+
+def _models_sql(chain: str, folded: str, names: list[str], k: int, min_train: int) -> str:
+    sizes = " UNION ALL ".join(f"SELECT series_id, horizon, {f} AS fold, count(*) AS n_train FROM {folded} "
+                               f"WHERE n_rows >= {2 * min_train} AND block < {f} GROUP BY ALL" for f in range(1, k + 1))
+    return f"""{chain} SELECT series_id, horizon, CAST(fold AS INTEGER) AS fold, model, n_train, TRUE AS is_sound
+FROM ({sizes}), (VALUES {', '.join(f"('{n}')" for n in names)}) AS c(model) WHERE n_train >= {min_train}"""
+
+
+def _sound(models: DataFrame, most: dict[str, int]) -> DataFrame:
+    """Whether a model's trees are whole: as many as its rounds allow, every inner node with two children behind it."""
+    nodes = trees.nodes(models)
+    inner = F.col("feature") >= 0
+    whole = F.bool_and(F.when(inner, (F.col("left") > F.col("node")) & (F.col("right") == F.col("left") + 1)
+                              & F.col("threshold").isNotNull()).otherwise(F.col("left") == -1))
+    children = F.sum(F.when(inner, 2).otherwise(0))
+    key = [*CELL, "fold", "model"]
+    checked = nodes.groupBy(*key).agg(whole.alias("w"), (F.count("*") - children).alias("n_roots"))
+    limit = F.lit(0)
+    for name, rounds in most.items():
+        limit = F.when(F.col("model") == name, F.lit(rounds)).otherwise(limit)
+    roots = F.coalesce("n_roots", F.lit(0))
+    return models.select(*key, "n_train", "rounds", F.size("roots").alias("n")).join(checked, key, "left").select(
+        *key, "n_train", (F.coalesce("w", F.lit(True)) & (roots == F.col("n")) & (F.col("n") <= F.col("rounds"))
+                          & (F.col("rounds") <= limit)).alias("is_sound"))
+
+
+@query("m7_m8_tree_tables", sql=_models_sql(_LONG, "fd", list(trees.HOURLY_TREES), FOLDS, MIN_TRAIN))
+def m78_tables(t: Tables) -> DataFrame:
+    """The boosted models of every horizon and fold as node tables: sizes of their training sets, and whole trees."""
+    return _sound(_panel(t).trees, {n: s.rounds for n, s in trees.HOURLY_TREES.items()})
 
 
 @query("m10_random_forest")
 def m10(t: Tables) -> DataFrame:
-    """Daily forest on day+1: trained on the blocks before the last, scored on the last."""
-    rows = daily_rows(t).filter("horizon = 1")
-    folded = evaluate.expanding_folds(rows, 5, 60, "pos").persist()
-    model = trees.fit_random_forest(folded.filter("block < 5"), DAILY_FEATURES, trees=100)
-    test = trees.predict_trees(
-        model, folded.filter("block = 5 AND is_scored").withColumnRenamed("block", "fold"),
-        DAILY_FEATURES, "random_forest")
-    return evaluate.score(
-        test, {"random_forest": F.col("random_forest")}, evaluate.DAILY_CANDIDATES)
+    """Daily forest of 400 trees on every horizon and fold."""
+    return _daily_panel(t).scores.filter("model = 'random_forest'")
+
+
+@query("m10_tree_tables", sql=_models_sql(_DLONG, "dfd", ["random_forest"], 5, 60))
+def m10_tables(t: Tables) -> DataFrame:
+    """The forests of every horizon and fold as node tables."""
+    return _sound(_daily_panel(t).trees, {"random_forest": 400})
+
+
+def _boosted_on_everything(t: Tables, horizons: list[int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(all training rows with fold 0, the boosted models fitted on them)."""
+    folded = stored(evaluate.expanding_folds(long_rows(t, horizons), FOLDS, MIN_TRAIN).withColumn("fold", F.lit(0)), "folds")
+    specs = {"hist_gbr": trees.HIST_GBR}
+    return folded, stored(trees.fit_trees(folded, HOURLY_FEATURES, specs, [0], MIN_TRAIN), "trees")
+
+
+@query("l2_tree_attribution")
+def l2_trees(t: Tables) -> DataFrame:
+    """Mean absolute path contribution of each feature to the boosted trees, per series and horizon, over all rows."""
+    rows, models = _boosted_on_everything(t)
+    return explain.mean_abs_attribution(
+        explain.tree_attribution(rows, models, HOURLY_FEATURES), [SERIES, "horizon", "feature"])
+
+
+@query("l2_tree_additivity", sql=f"""
+{_LONG} SELECT series_id, horizon, count(*) AS n_rows, TRUE AS adds_up FROM fd GROUP BY series_id, horizon
+HAVING count(*) >= {MIN_TRAIN}""")
+def l2_additivity(t: Tables) -> DataFrame:
+    """Base and contributions of every row against the prediction of the same trees."""
+    rows, models = _boosted_on_everything(t)
+    parts = trees.tree_contributions(rows, models, HOURLY_FEATURES)
+    total = F.col("base") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+    predicted = trees.predict_trees(rows, models, HOURLY_FEATURES, ["hist_gbr"], keep=[HOUR])
+    both = parts.select(*CELL, HOUR, total.alias("total")).join(predicted, [*CELL, HOUR])
+    return both.groupBy(*CELL).agg(
+        F.count("*").alias("n_rows"), (F.max(F.abs(F.col("total") - F.col("hist_gbr"))) <= 1e-6).alias("adds_up"))
 
 
 @query("l2_permutation_importance")
 def l2_permutation(t: Tables) -> DataFrame:
-    rows = long_rows(t, [24]).persist()
-    model = trees.fit_boosting(rows, HOURLY_FEATURES, rounds=10, depth=4)
-    return explain.permutation_importance(model, sample_rows(rows, 1500), HOURLY_FEATURES)
+    """Rise of the boosted trees' error at +24 h when a feature is swapped between rows, per series, over all rows."""
+    rows, models = _boosted_on_everything(t, [24])
+    return explain.permutation_importance(models, rows, HOURLY_FEATURES, "hist_gbr")
 
 
 # -- serving --------------------------------------------------------------------------------
@@ -451,6 +651,50 @@ def v1(t: Tables) -> DataFrame:
     return _serve(t)[0]
 
 
+@query("v1_forecast_any_winner", sql=f"""
+{_LONG}, nw AS (SELECT series_id, max(ts) AS ts FROM ft WHERE {S.COMPLETE} GROUP BY 1)
+SELECT DISTINCT f.series_id, f.horizon, nw.ts + f.horizon * INTERVAL 1 HOUR AS ts, TRUE AS in_range
+FROM fd f JOIN nw ON nw.series_id = f.series_id""")
+def v1_any(t: Tables) -> DataFrame:
+    """Forecast from the registered winners among all eight candidates: every horizon of every series has a number."""
+    features, panel, models = _winners(t)
+    root = t.folder("registry")
+    summary = evaluate.fold_summary(panel.scores)
+    store.register_models(models, evaluate.registry_metrics(summary), root)
+    points = serving.forecast(
+        serving.latest_features(features), store.read_registry(t.spark, root), evaluate.skill_table(summary))
+    return points.select(SERIES, "horizon", "ts", F.col("aqi").between(0, 500).alias("in_range"))
+
+
+@query("v1_forecast_trees", sql=f"""
+{_LONG}, nw AS (SELECT series_id, max(ts) AS ts FROM ft WHERE {S.COMPLETE} GROUP BY 1)
+SELECT DISTINCT f.series_id, f.horizon, nw.ts + f.horizon * INTERVAL 1 HOUR AS ts, TRUE AS in_range, 'hist_gbr' AS model
+FROM fd f JOIN nw ON nw.series_id = f.series_id""")
+def v1_trees(t: Tables) -> DataFrame:
+    """Forecast of series whose registered model is a boosted one on every horizon."""
+    rows, fits = _boosted_on_everything(t)
+    models = fits.select(*CELL, "model", F.struct(*trees.PACKED_FIELDS).alias("trees"))
+    skill = rows.select(*CELL).distinct().withColumns(
+        {"rmse": F.lit(1.0), "gain": F.lit(None).cast("double"), "model": F.lit("hist_gbr")})
+    points = serving.forecast(serving.latest_features(hourly_features(t)), models, skill)
+    return points.select(SERIES, "horizon", "ts", F.col("aqi").between(0, 500).alias("in_range"), "model")
+
+
+@query("v1_forecast_daily", sql=f"""
+{_DLONG}, nw AS (SELECT series_id, max(date) AS date FROM df
+  WHERE {' AND '.join(c + ' IS NOT NULL' for c in S.DAILY_FEATURES)} GROUP BY 1)
+SELECT DISTINCT f.series_id, f.horizon, CAST(nw.date + f.horizon * INTERVAL 1 DAY AS DATE) AS date, TRUE AS in_range
+FROM dfd f JOIN nw ON nw.series_id = f.series_id""")
+def v1_daily(t: Tables) -> DataFrame:
+    """Daily forecast from the winners among all five candidates."""
+    panel = _daily_panel(t)
+    models = training.final_models(panel, evaluate.MIN_TRAIN_DAILY, trees.DAILY_TREES, training.DAILY)
+    latest = latest_row(daily_frame(t.daily_readings()), DAILY_FEATURES, "pos")
+    skill = evaluate.skill_table(evaluate.fold_summary(panel.scores), "persistence_baseline")
+    points = serving.forecast(latest, models, skill, DAILY_FEATURES, "days")
+    return points.select(SERIES, "horizon", "date", F.col("aqi").between(0, 500).alias("in_range"))
+
+
 @query("j5_attach_skill", floats="aqi rmse gain", sql=f"""
 {_FORECAST} SELECT series_id, horizon, aqi, CASE WHEN horizon <= 48 THEN rmse END AS rmse,
   CASE WHEN horizon <= 48 THEN gain END AS gain FROM fc""")
@@ -514,8 +758,6 @@ SELECT series_id, parameter, value FROM ({' UNION ALL '.join(
     f"SELECT series_id, '{c}' AS parameter, {c} AS value FROM nw" for c in S.COLS)})
 WHERE value IS NOT NULL""")
 def v6_latest(t: Tables) -> DataFrame:
-    from airpanel.operators.relational import latest_row
-
     latest = latest_row(timegrid.hourly_frame(t.faulty_readings()))
     return serving.latest_readings(latest, [*S.COLS, "temperature_2m"])
 

@@ -315,3 +315,20 @@ def target_mode_compare(metrics_by_mode: Mapping[str, DataFrame]) -> DataFrame:
     cell = Window.partitionBy(SERIES, "target_mode")
     base = F.min(F.when(F.col("model") == "persistence", F.col("curve_rmse"))).over(cell)
     return both.withColumn("margin_pct", gain_pct(base, F.col("curve_rmse"))).drop("rank")
+
+
+def skipped_cells(features: DataFrame, training: DataFrame, horizons: list[int], k: int, min_train: int) -> DataFrame:
+    """(series, horizon, n_rows, reason) of every series and horizon that has no scored fold.
+
+    Series are those of ``features``, so one without any usable row is named as well.
+    """
+    asked = features.select(SERIES).distinct().select(
+        SERIES, F.explode(F.array(*[F.lit(h) for h in horizons])).alias("horizon"))
+    counted = training.groupBy(*CELL).agg(F.count("*").alias("_n"))
+    rows = asked.join(counted, CELL, "left").withColumn("n_rows", F.coalesce("_n", F.lit(0)))
+    # The last fold has the most training rows: all but the last of its k + 1 blocks.
+    largest = F.col("n_rows") - F.expr(f"n_rows div {k + 1}")
+    few = F.col("n_rows") < 2 * min_train
+    reason = F.when(few, F.format_string("only %d usable rows", "n_rows")).when(
+        (largest < min_train) | (F.col("n_rows") < k + 1), F.lit("no fold has enough training rows"))
+    return rows.withColumn("reason", reason).where("reason IS NOT NULL").select(*CELL, "n_rows", "reason")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airpanel.models.evaluate import CELL
-from airpanel.models.trees import predict_trees
+from airpanel.models.trees import predict_trees, tree_contributions
 from airpanel.schemas import HOUR
 
 
@@ -30,6 +30,19 @@ def linear_attribution(
                     (F.col("_z.w") * (F.col("_z.x") - F.col("_z.m"))).alias("attribution")))
 
 
+def tree_attribution(rows: DataFrame, models: DataFrame, features: list[str], order: str = HOUR) -> DataFrame:
+    """Long table (series, horizon, fold, model, feature, x, attribution) of tree models: path contributions of every row.
+
+    ``rows`` has the fold whose models are meant. Per row, attributions and ``base`` of ``tree_contributions`` add up
+    to the prediction.
+    """
+    named = F.array(*[F.lit(f) for f in features])
+    return (tree_contributions(rows, models, features, order)
+            .select(*CELL, "fold", "model", F.explode(F.arrays_zip(
+                named.alias("feature"), F.col("x").alias("x"), F.col("contributions").alias("attribution"))).alias("_z"))
+            .select(*CELL, "fold", "model", "_z.feature", "_z.x", "_z.attribution"))
+
+
 def mean_abs_attribution(attributions: DataFrame, by: list[str] | None = None) -> DataFrame:
     return attributions.groupBy(*(by or ["feature"])).agg(F.avg(F.abs("attribution")).alias("mean_abs"))
 
@@ -43,34 +56,29 @@ def response_linearity(attributions: DataFrame, by: list[str] | None = None) ->
 
 
 def permutation_importance(
-    model, rows: DataFrame, features: list[str], seed: int = 42, label: str = "delta"
+    models: DataFrame, rows: DataFrame, features: list[str], name: str, seed: int = 42, label: str = "delta"
 ) -> DataFrame:
-    """Increase of squared error when one feature is swapped for that of another row.
+    """(series, horizon, feature, increase): how much squared error grows when a feature is another row's.
 
-    Every row gets one partner within its series and horizon by hash order; each
-    feature in turn takes the partner's value, and all variants are scored in one
-    pass over the model.
+    Every row gets one partner within its series and horizon by hash order; each feature in turn takes the
+    partner's value, and all variants go through the models of their ``fold`` in one pass.
     """
     draw = F.xxhash64(HOUR, F.lit(seed))
     by_time = Window.partitionBy(*CELL).orderBy(HOUR)
     by_hash = Window.partitionBy(*CELL).orderBy(draw, HOUR)
     left = rows.select(
-        *CELL, *features, F.col(label).alias("_label"), F.row_number().over(by_time).alias("_i"))
+        *CELL, "fold", *features, F.col(label).cast("double").alias("_label"), F.row_number().over(by_time).alias("_i"))
     right = rows.select(
         *CELL, *[F.col(c).alias(f"_o_{c}") for c in features], F.row_number().over(by_hash).alias("_i"))
     paired = left.join(right, [*CELL, "_i"])
     variants = paired.withColumn("swapped", F.explode(F.array(*[F.lit(c) for c in ["", *features]])))
-    swapped = variants.select("swapped", "_label", *[
+    swapped = variants.select(*CELL, "fold", "swapped", "_label", *[
         F.when(F.col("swapped") == c, F.col(f"_o_{c}")).otherwise(F.col(c)).cast("double").alias(c)
         for c in features])
-    error = (F.col("_p") - F.col("_label")) ** 2
-    losses = predict_trees(model, swapped, features, "_p").groupBy("swapped").agg(
+    error = (F.col(name) - F.col("_label")) ** 2
+    losses = predict_trees(swapped, models, features, [name], keep=["swapped", "_label"]).groupBy(*CELL, "swapped").agg(
         F.avg(error).alias("_mse"))
-    # One row per feature by now: gather them beside the unswapped error.
-    table = losses.agg(
-        F.max(F.when(F.col("swapped") == "", F.col("_mse"))).alias("_base"),
-        F.collect_list(F.struct("swapped", "_mse")).alias("_all"))
-    return (table.select("_base", F.explode("_all").alias("_l"))
-            .filter(F.col("_l.swapped") != "")
-            .select(F.col("_l.swapped").alias("feature"),
-                    (F.col("_l._mse") - F.col("_base")).alias("increase")))
+    # A window holds one row per feature.
+    base = F.max(F.when(F.col("swapped") == "", F.col("_mse"))).over(Window.partitionBy(*CELL))
+    return (losses.withColumn("increase", F.col("_mse") - base).filter("swapped <> ''")
+            .select(*CELL, F.col("swapped").alias("feature"), "increase"))

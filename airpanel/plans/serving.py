@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from airpanel.functions.aqi import categorise
 from airpanel.functions.scalars import alert_severity, band_high, band_low, clip
+from airpanel.models.evaluate import CELL
 from airpanel.models.linear import predict_linear
+from airpanel.models.trees import PACKED, PACKED_FIELDS, predict_trees
 from airpanel.operators.relational import (
     breaches, latest_row, require_columns, tail_window, top_features)
 from airpanel.schemas import HOURLY_FEATURES, SERIES
@@ -20,11 +22,29 @@ def attach_skill(forecast: DataFrame, skill: DataFrame, keys: tuple[str, ...] =
 
 
 def predicted_delta(features: list[str]) -> Column:
-    """Change predicted by a registered model row (``model``, ``k``, ``intercept``, ``weights``)."""
-    return (F.when(F.col("model").isin("persistence"), F.lit(0.0))
-            .when(F.col("model") == "diurnal_naive", F.col("aqi_lag24") - F.col("aqi"))
-            .when(F.col("model") == "damped_reversion", F.col("k") * -F.col("aqi_minus_roll24"))
-            .when(F.col("model").isin("ridge", "elastic_net"), predict_linear(features)))
+    """Change predicted by a registered model row (``model``, ``k``, ``intercept``, ``weights``, ``tree_value``)."""
+    damped = {"damped_reversion": "aqi_minus_roll24", "damped_persistence": "aqi_minus_rolling_7"}
+    delta = (F.when(F.col("model").isin("persistence", "persistence_baseline"), F.lit(0.0))
+             .when(F.col("model").isin("ridge", "elastic_net"), predict_linear(features))
+             .when(F.col("model").isin("hist_gbr", "random_forest"), F.col("tree_value"))
+             .when(F.col("model") == "boosted_residual", predict_linear(features) + F.col("tree_value"))
+             .when(F.col("model") == "ensemble", (predict_linear(features) + F.col("tree_value")) / 2))
+    if "aqi_lag24" in features:
+        delta = delta.when(F.col("model") == "diurnal_naive", F.col("aqi_lag24") - F.col("aqi"))
+    if "aqi_minus_rolling_7" in features:
+        delta = delta.when(F.col("model") == "climatology_7d", -F.col("aqi_minus_rolling_7"))
+    for model, deviation in damped.items():
+        if deviation in features:
+            delta = delta.when(F.col("model") == model, F.col("k") * -F.col(deviation))
+    return delta
+
+
+def tree_values(latest: DataFrame, models: DataFrame, features: list[str]) -> DataFrame:
+    """(series, horizon, tree_value) where the registered model has trees; one row each."""
+    own = models.where(F.col("trees").isNotNull()).select(
+        *CELL, F.lit(0).alias("fold"), F.lit("tree_value").alias("model"), *[F.col(f"trees.{c}").alias(c) for c in PACKED_FIELDS])
+    rows = latest.select(SERIES, *features).join(own.select(*CELL, "fold"), SERIES)
+    return predict_trees(rows, own, features, ["tree_value"]).drop("fold")
 
 
 def latest_features(features: DataFrame, names: list[str] | None = None) -> DataFrame:
@@ -34,24 +54,27 @@ def latest_features(features: DataFrame, names: list[str] | None = None) -> Data
 
 
 def forecast(
-    latest: DataFrame, models: DataFrame, skill: DataFrame, names: list[str] | None = None
+    latest: DataFrame, models: DataFrame, skill: DataFrame, names: list[str] | None = None, unit: str = "hours",
 ) -> DataFrame:
-    """One row per series and horizon: level = clip(current + predicted change).
+    """One row per series and horizon: level = clip(current + predicted change); ``unit`` is hours or days.
 
-    A model that yields no number for a series leaves that horizon out.
+    Every kind of registered model is dispatched to its parameters: columns for baselines and linear models, the
+    stored trees for the others. A model that yields no number for a series leaves that horizon out.
     """
     names = names or HOURLY_FEATURES
-    for c, kind in {"k": "double", "intercept": "double", "weights": "array<double>"}.items():
+    for c, kind in {"k": "double", "intercept": "double", "weights": "array<double>", "trees": PACKED}.items():
         if c not in models.columns:
             models = models.withColumn(c, F.lit(None).cast(kind))
-    scored = latest.join(models, SERIES).withColumn("_delta", predicted_delta(names))
+    scored = (latest.join(models.drop("trees"), SERIES).join(tree_values(latest, models, names), CELL, "left")
+              .withColumn("_delta", predicted_delta(names)))
+    time = "ts" if unit == "hours" else "date"
+    ahead = (F.col(time) + F.make_dt_interval(hours=F.col("horizon")) if unit == "hours"
+             else F.date_add(time, F.col("horizon")))
     points = scored.filter(F.col("_delta").isNotNull()).select(
-        SERIES, "horizon",
-        (F.col("ts") + F.make_dt_interval(hours=F.col("horizon"))).alias("ts"),
-        clip(F.col("aqi") + F.col("_delta")).alias("aqi"),
+        SERIES, "horizon", ahead.alias(time), clip(F.col("aqi") + F.col("_delta")).alias("aqi"),
         F.col("model").alias("_kind"))
     return attach_skill(points, skill).select(
-        SERIES, "horizon", "ts", "aqi", "rmse", "gain",
+        SERIES, "horizon", time, "aqi", "rmse", "gain",
         F.coalesce("_skill_model", "_kind").alias("model"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -35,3 +35,11 @@ def work_folder(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="airpanel-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/airpanel/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` written to the work folder and read again: computed once, and safe from lost executors."""
+    spark = df.sparkSession
+    path = work_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

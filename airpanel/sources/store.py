@@ -113,20 +113,62 @@ def compact_feature_group(
     write_feature_group(current, root, name, new_version, 0, event_time)
 
 
-def register_models(models: DataFrame, metrics: DataFrame, root: str) -> DataFrame:
-    """One registry row per series and horizon: model kind, parameters and its metrics.
+def register_models(models: DataFrame, metrics: DataFrame, root: str, name: str = "aqi_hourly_h") -> int:
+    """Store all models of a run as one new version of the registry, and return its number.
 
-    ``models`` has (series_id, horizon, model, ...parameters). Metrics that are
-    NULL or NaN are left out of the map.
+    One entry per series and horizon: model kind, parameters (trees included) and the metrics that are neither NULL nor
+    NaN. Entries go to a folder of their own; the version exists from the moment its row is in the log, so a
+    registration that died half way is never read, and its number is taken again. Versions are never changed.
+    One writer at a time.
     """
+    spark = models.sparkSession
     names = [c for c in ("rmse", "mae", "r2") if c in metrics.columns]
     as_map = F.map_from_arrays(
         F.array(*[F.lit(n) for n in names]), F.array(*[F.col(n) for n in names]))
     kept = F.map_filter(as_map, lambda _, v: v.isNotNull() & ~F.isnan(v))
     best = metrics.select(SERIES, "horizon", kept.alias("metrics"))
-    registry = (models.join(best, [SERIES, "horizon"], "left")
-                .withColumn("name", F.concat(F.lit("aqi_hourly_h"), "horizon"))
-                .withColumn("target", F.lit("delta")))
-    path = f"{root.rstrip('/')}/model_registry"
-    registry.write.mode("overwrite").parquet(path)
-    return models.sparkSession.read.parquet(path)
+    entries = (models.join(best, [SERIES, "horizon"], "left")
+               .withColumn("name", F.concat(F.lit(name), "horizon"))
+               .withColumn("target", F.lit("delta")))
+    version = max((r.version for r in registered_versions(spark, root).collect()), default=0) + 1
+    entries.write.mode("overwrite").parquet(_entries(root, version))
+    n = spark.read.parquet(_entries(root, version)).count()
+    # The pointer moves last.
+    (spark.createDataFrame([(version, n)], _VERSIONS).coalesce(1).withColumn("registered_at", F.current_timestamp())
+     .write.mode("append").parquet(f"{root.rstrip('/')}/model_registry/log"))
+    return version
+
+
+_VERSIONS = "version INT, n_models BIGINT"
+
+
+def _entries(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/model_registry/entries/version={int(version)}"
+
+
+def registered_versions(spark: SparkSession, root: str) -> DataFrame:
+    """(version, n_models, registered_at) of every complete registration; one row each."""
+    path = f"{root.rstrip('/')}/model_registry/log"
+    kind = f"{_VERSIONS}, registered_at TIMESTAMP"
+    return spark.read.schema(kind).parquet(path) if _exists(spark, path) else spark.createDataFrame([], kind)
+
+
+def read_registry(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
+    """The entries of a version with its number, the newest by default; None for an empty registry."""
+    known = sorted(r.version for r in registered_versions(spark, root).collect())
+    if not known:
+        return None
+    wanted = known[-1] if version is None else int(version)
+    if wanted not in known:
+        raise ValueError(f"version {wanted} is not in the registry, which has {known}")
+    return spark.read.parquet(_entries(root, wanted)).withColumn("version", F.lit(wanted))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+            return False
+        raise
+    return True

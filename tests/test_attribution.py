@@ -16,15 +16,16 @@ pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="test tables are
 
 
 def test_attributions_take_every_row(spark, monkeypatch):
-    seen, real = [], modelling.explain.linear_attribution
+    seen = {}
+    for name in ("linear_attribution", "tree_attribution"):
+        def counted(rows, *args, _real=getattr(modelling.explain, name), _name=name, **options):
+            seen[_name] = rows.count()
+            return _real(rows, *args, **options)
 
-    def counted(rows, *args, **options):
-        seen.append(rows.count())
-        return real(rows, *args, **options)
-
-    monkeypatch.setattr(modelling.explain, "linear_attribution", counted)
+        monkeypatch.setattr(modelling.explain, name, counted)
     t = Tables(spark, DATA)
     rows = modelling.long_rows(t, [24])
     found, _ = modelling.l2(t).collect(), modelling.l3_attribution(t)
-    assert rows.count() > 1500 and seen == [rows.count()] * 2
+    assert rows.count() > 1500 and seen["linear_attribution"] == rows.count()
+    assert seen["tree_attribution"] == modelling.long_rows(t).count()
     assert {r[SERIES] for r in found} == {r[SERIES] for r in rows.select(SERIES).distinct().collect()}

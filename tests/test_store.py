@@ -319,3 +319,24 @@ def test_live_rows_win_whatever_the_sequence(spark):
     df = spark.createDataFrame(rows, f"{SERIES} string, {HOUR} long, ingest_seq long, is_backfilled boolean, pm25 double")
     got = {r[SERIES]: r.pm25 for r in dedupe_hour_prefer_live(df, [SERIES, HOUR]).collect()}
     assert got == {"a": 2.0, "b": 4.0}
+
+
+def test_registry_keeps_versions_and_hides_half_written_ones(spark, tmp_path):
+    root = str(tmp_path)
+    models = spark.createDataFrame([("a", 1, "ridge", 0.5), ("a", 3, "persistence", None)],
+                                   f"{SERIES} STRING, horizon INT, model STRING, alpha DOUBLE")
+    metrics = spark.createDataFrame([("a", 1, 2.0, None, float("nan"))],
+                                    f"{SERIES} STRING, horizon INT, rmse DOUBLE, mae DOUBLE, r2 DOUBLE")
+    assert store.read_registry(spark, root) is None
+    assert store.register_models(models, metrics, root) == 1
+    # A second run that died before its row reached the log.
+    models.write.parquet(f"{root}/model_registry/entries/version=2")
+    assert store.read_registry(spark, root).first().version == 1
+    assert store.register_models(models.filter("horizon = 1"), metrics, root) == 2
+    newest = store.read_registry(spark, root).collect()
+    assert [(r.version, r.horizon, r.name, r.target, r.metrics) for r in newest] == [(2, 1, "aqi_hourly_h1", "delta", {"rmse": 2.0})]
+    first = {r.horizon: r.metrics for r in store.read_registry(spark, root, 1).collect()}
+    assert first == {1: {"rmse": 2.0}, 3: None}
+    assert [(r.version, r.n_models) for r in store.registered_versions(spark, root).orderBy("version").collect()] == [(1, 2), (2, 1)]
+    with pytest.raises(ValueError):
+        store.read_registry(spark, root, 3)
