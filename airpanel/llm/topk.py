@@ -7,7 +7,8 @@ candidate. Partition selection takes the k best of each array, and the cells' su
 
 Blocks have a bounded number of rows (``QUERY_BLOCK``, ``CANDIDATE_BLOCK``), so a task's memory does not follow the tables; a
 candidate is moved once per block of queries and a query once per block of candidates. Every query meets every candidate:
-nothing is pruned. Sums are exact: doubles while their bound is below 2^53, else 64-bit integers, else Python's.
+nothing is pruned. Sums are exact: floats while their bound
+is below 2^24, doubles below 2^53, else 64-bit integers, else Python's.
 
 Defined results: a vector that is null or has a null or non-finite component takes no part; an empty vector, or one of zeros,
 scores 0 with every other; vectors of different lengths meet on their common terms; ties go to the smaller id (null last);
@@ -33,7 +34,8 @@ by_value(__name__)
 QUERY_BLOCK = 8_192
 CANDIDATE_BLOCK = 65_536
 ARRAY = 8_192           # places of one dense array of scores
-SIDE_BY_SIDE = 8        # query rows whose arrays are filled together
+SIDE_BY_SIDE = 32       # query rows whose arrays are filled together
+LONG_LIST = 4           # a posting list of one place in so many is kept as a whole line
 _SPARSE = "row long, id long, terms array<int>, weights array<long>"
 _MOST = np.iinfo(np.int64).max
 
@@ -86,10 +88,19 @@ class _Rows:
         return rows[order], terms[order], self.weights[part][order]
 
 
-def _postings(rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, kind) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+def _postings(rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, kind, width: int) -> dict[int, tuple]:
+    """By term: the places that hold it, or None, and their weights; a list that covers much of the width is a whole line."""
     names, at = np.unique(terms, return_index=True)
     ends = np.append(at[1:], len(terms))
-    return {t: (rows[a:b], weights[a:b].astype(kind)) for t, a, b in zip(names.tolist(), at.tolist(), ends.tolist())}
+    out = {}
+    for t, a, b in zip(names.tolist(), at.tolist(), ends.tolist()):
+        places, values = rows[a:b], weights[a:b].astype(kind)
+        if LONG_LIST * (b - a) >= width:
+            line = np.zeros(width, kind)
+            line[places] = values
+            places, values = None, line
+        out[t] = places, values
+    return out
 
 
 def _exact_kind(queries: _Rows, candidates: _Rows):
@@ -100,7 +111,7 @@ def _exact_kind(queries: _Rows, candidates: _Rows):
 
     (a, n), (b, m) = largest(queries), largest(candidates)
     bound = a * b * min(n, m)
-    return np.float64 if bound < 2**53 else np.int64 if bound < 2**63 else object
+    return np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64 if bound < 2**63 else object
 
 
 def _best(scores: np.ndarray, k: int) -> np.ndarray:
@@ -119,11 +130,11 @@ def _cell(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     groups = []
     for q in range(0, len(ask.row), SIDE_BY_SIDE):
         to = min(q + SIDE_BY_SIDE, len(ask.row))
-        groups.append((q, to, _postings(*ask.between(q, to), kind)))
+        groups.append((q, to, _postings(*ask.between(q, to), kind, to - q)))
     kept: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in ask.row]
     for low in range(0, len(give.row), ARRAY):
         high = min(low + ARRAY, len(give.row))
-        postings = _postings(*give.between(low, high), kind)
+        postings = _postings(*give.between(low, high), kind, high - low)
         product = np.empty((SIDE_BY_SIDE, high - low), kind)
         for q, to, wanted in groups:
             scores = np.zeros((to - q, high - low), kind)
@@ -131,13 +142,14 @@ def _cell(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
                 if term not in postings:
                     continue
                 places, values = postings[term]
-                full = len(places) == high - low
-                if full and len(rows) == to - q:
+                if rows is None and places is None:
                     out = product[:to - q]
                     np.multiply(weights[:, None], values, out=out)
                     scores += out
-                elif full:
+                elif places is None:
                     scores[rows] += weights[:, None] * values
+                elif rows is None:
+                    scores[:, places] += weights[:, None] * values
                 else:
                     scores[rows[:, None], places] += weights[:, None] * values
             if kind is object:
