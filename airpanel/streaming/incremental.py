@@ -17,7 +17,8 @@ from airpanel.operators.quality import freshness_gate, validate_features
 from airpanel.operators.relational import complete_cases, merge_keyed, newer_than, select_features
 from airpanel.operators.timegrid import grid_frame, hourly_mean
 from airpanel.schemas import FEATURE_LOOKBACK_HOURS, HOUR, HOURLY_FEATURES, POLLUTANTS, SERIES
-from airpanel.sources.store import read_batch, read_feature_group, write_feature_group
+from airpanel.sources.store import (
+    compact_feature_group, pending_batches, read_batch, read_feature_group, write_feature_group)
 
 HISTORY_DAYS = 14
 MAX_GAP_HOURS = 12
@@ -89,12 +90,14 @@ def incremental_update(
     version: int = 1,
     policy: str = "append_new",
     time: str = "observed_at",
+    compact_every: int | None = None,
 ) -> None:
     """One micro-batch of readings: gate, rebuild over the stored tail, validate, store.
 
-    Series whose reading is too far ahead of the store go to the quarantine group
-    until their gap is backfilled. Re-running a batch number replaces its own
-    output and nothing else.
+    Series whose reading is too far ahead of the store go to the quarantine group until their gap is backfilled, and so do
+    faulty ones (infinite means, or no name), while the others are stored. Re-running a batch number replaces its own
+    output and nothing else. With ``compact_every``, batches before this one are merged whenever so many have
+    gathered, so the cost of an update does not follow the age of the store.
     """
     incoming = hourly_mean(readings, mask="before_mean", time=time).withColumn(
         "ts", hour_to_utc(F.col(HOUR))).persist()
@@ -103,6 +106,23 @@ def incremental_update(
             _update(incoming, root, batch, version, policy)
     finally:
         incoming.unpersist()
+    if compact_every:
+        compact(readings.sparkSession, root, batch - 1, version, compact_every)
+
+
+def compact(spark: SparkSession, root: str, upto: int, version: int = 1, least: int = 2) -> None:
+    """Merge the batches up to ``upto`` of every group that has gathered ``least`` or more."""
+    for name in (OBSERVED, FEATURES, QUARANTINE):
+        if pending_batches(spark, root, name, version) >= least:
+            compact_feature_group(spark, root, name, version, upto)
+
+
+def faulty_series(hourly: DataFrame, cols: list[str] = POLLUTANTS) -> DataFrame:
+    """(series): those with an infinite mean, and the one without a name."""
+    wrong = F.col(SERIES).isNull()
+    for c in cols:
+        wrong = wrong | (F.abs(F.col(c).cast("double")) == F.lit(float("inf")))
+    return hourly.filter(wrong).select(SERIES).distinct()
 
 
 def replay_quarantine(
@@ -117,7 +137,9 @@ def replay_quarantine(
         if waiting.isEmpty():
             return
         refused = _update(waiting, root, batch, version, policy)
-        done = waiting if refused is None else waiting.join(refused, SERIES, "left_anti")
+        mine = waiting.alias("mine")
+        done = waiting if refused is None else mine.join(
+            refused.alias("theirs"), F.col(f"mine.{SERIES}").eqNullSafe(F.col(f"theirs.{SERIES}")), "left_anti")
         # Beside what the same batch refused again.
         write_feature_group(done.withColumn("_deleted", F.lit(True)), root, QUARANTINE, version, batch, mode="append")
     finally:
@@ -126,8 +148,8 @@ def replay_quarantine(
 
 def _update(incoming: DataFrame, root: str, batch: int, version: int, policy: str) -> DataFrame | None:
     """Gate, store and rebuild from hourly means; returns the refused series, if any."""
-    written, refused = _store_observed(incoming, root, batch, version, policy)
-    fresh = _fresh_features(written, root, batch, version, policy).persist()
+    written, refused, stored = _store_observed(incoming, root, batch, version, policy)
+    fresh = _fresh_features(written, stored, root, batch, version, policy).persist()
     try:
         problems = validate_features(
             fresh.filter(~F.col("_deleted")).drop("_deleted"), [SERIES, HOUR], text_ok=["ts"]).filter(
@@ -143,32 +165,36 @@ def _update(incoming: DataFrame, root: str, batch: int, version: int, policy: st
 
 def _store_observed(
     incoming: DataFrame, root: str, batch: int, version: int, policy: str
-) -> tuple[DataFrame, DataFrame | None]:
-    """Gate and store new hourly means; returns what this batch stored, and the refused series."""
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Gate and store new hourly means; returns what this batch stored, the refused series, and the tail before it."""
     spark = incoming.sparkSession
     stored = read_feature_group(
         spark, root, OBSERVED, version, tail_days=HISTORY_DAYS, before_batch=batch, only=incoming)
-    accepted, waiting = incoming, None
+    refused = faulty_series(incoming)
     if stored is not None:
         # A redelivery of an old hour says nothing about the gap in front of the new ones.
         ahead = newer_than(incoming, stored, time=HOUR)
         first_hours = freshness_gate(
             ahead.groupBy(SERIES).agg(F.min("ts").alias("ts")), stored, MAX_GAP_HOURS)
-        refused = first_hours.filter(~F.col("is_accepted")).select(SERIES).persist()
-        if not refused.isEmpty():
-            # The refused rows keep their own time, so that they can be replayed.
-            write_feature_group(
-                incoming.join(refused, SERIES, "left_semi"), root, QUARANTINE, version, batch)
-            accepted = incoming.join(refused, SERIES, "left_anti")
-            waiting = read_batch(spark, root, QUARANTINE, version, batch, incoming.schema).select(SERIES).distinct()
-        refused.unpersist()
+        refused = refused.unionByName(first_hours.filter(~F.col("is_accepted")).select(SERIES)).distinct()
+    accepted, waiting = incoming, None
+    refused = refused.persist()
+    if not refused.isEmpty():
+        mine, theirs = incoming.alias("mine"), refused.alias("theirs")
+        same = F.col(f"mine.{SERIES}").eqNullSafe(F.col(f"theirs.{SERIES}"))
+        # The refused rows keep their own time, so that they can be replayed.
+        write_feature_group(mine.join(theirs, same, "left_semi"), root, QUARANTINE, version, batch)
+        accepted = mine.join(theirs, same, "left_anti")
+        waiting = read_batch(spark, root, QUARANTINE, version, batch, incoming.schema).select(SERIES).distinct()
+    refused.unpersist()
+    if stored is not None:
         accepted = apply_late_policy(stored, accepted, policy)
     write_feature_group(accepted, root, OBSERVED, version, batch)
-    return read_batch(spark, root, OBSERVED, version, batch, incoming.schema), waiting
+    return read_batch(spark, root, OBSERVED, version, batch, incoming.schema), waiting, stored
 
 
 def _fresh_features(
-    written: DataFrame, root: str, batch: int, version: int, policy: str
+    written: DataFrame, stored: DataFrame | None, root: str, batch: int, version: int, policy: str
 ) -> DataFrame:
     """Complete feature rows that the stored batch adds or changes; under ``upsert`` also tombstones.
 
@@ -178,9 +204,10 @@ def _fresh_features(
     spark = written.sparkSession
     touched = written.select(SERIES).distinct()
     tail = {"tail_days": HISTORY_DAYS, "before_batch": batch, "only": touched}
-    whole = {"before_batch": batch, "only": touched}
-    observed = read_feature_group(
-        spark, root, OBSERVED, version, **(tail if policy == "append_new" else whole))
+    if policy == "append_new":
+        observed = None if stored is None else stored.join(touched, SERIES, "left_semi")
+    else:
+        observed = read_feature_group(spark, root, OBSERVED, version, before_batch=batch, only=touched)
     history = written.limit(0) if observed is None else observed
     wanted = (SERIES, HOUR, "ts")
     if policy == "append_new":

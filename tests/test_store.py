@@ -122,8 +122,9 @@ def test_feature_group_updates_in_place_and_repeats_harmlessly(spark, tmp_path,
     assert rows(tail, HOUR) == [(491_000,)]
     assert rows(store.read_feature_group(spark, root, "hourly", 1, before_batch=1), HOUR, "v") == [
         (490_000, 1.0), (490_001, 2.0)]
-    store.compact_feature_group(spark, root, "hourly", 1, 2)
-    assert store.read_feature_group(spark, root, "hourly", 2).count() == 3
+    assert store.compact_feature_group(spark, root, "hourly", 1) == 1
+    assert rows(store.read_feature_group(spark, root, "hourly", 1), HOUR, "v") == [
+        (490_000, 1.0), (490_001, 9.0), (491_000, 3.0)]
     assert store.read_feature_group(spark, root, "absent", 1) is None
     with pytest.raises(ValueError):
         store.group_path(root, "../x", 1)
@@ -340,3 +341,88 @@ def test_registry_keeps_versions_and_hides_half_written_ones(spark, tmp_path):
     assert [(r.version, r.n_models) for r in store.registered_versions(spark, root).orderBy("version").collect()] == [(1, 2), (2, 1)]
     with pytest.raises(ValueError):
         store.read_registry(spark, root, 3)
+
+
+FRAME = f"{SERIES} STRING, {HOUR} BIGINT, v DOUBLE, _deleted BOOLEAN"
+
+
+def opened(df):
+    """(batch, month) of the files that a plan reads."""
+    return {tuple(p.split("=")[1] for p in f.split("/")[-3:-1]) for f in df.inputFiles()}
+
+
+def test_a_tail_opens_the_months_of_its_series_only(spark, tmp_path, rows):
+    root = str(tmp_path)
+    month = 24 * 31
+    for batch in range(6):  # series "a" reports every month, "silent" in the first one only
+        data = [("a", 490_000 + batch * month + i, float(i), False) for i in range(3)]
+        data += [("silent", 490_000, 7.0, False)] if batch == 0 else []
+        store.write_feature_group(hourly_with_ts(spark.createDataFrame(data, FRAME)), root, "g", 1, batch)
+    pick = lambda *names: spark.createDataFrame([(n,) for n in names], f"{SERIES} STRING")
+    latest = store.read_feature_group(spark, root, "g", 1, tail_days=3, only=pick("a"))
+    assert {b for b, _ in opened(latest)} == {"5"} and latest.count() == 3
+    both = store.read_feature_group(spark, root, "g", 1, tail_days=3)
+    assert {b for b, _ in opened(both)} == {"0", "5"}
+    assert rows(both, SERIES, HOUR)[-1] == ("silent", 490_000) and both.count() == 4
+    early = store.read_feature_group(spark, root, "g", 1, tail_days=3, only=pick("a"), before_batch=3)
+    assert {b for b, _ in opened(early)} == {"2"}
+    assert store.read_feature_group(spark, root, "g", 1, only=pick("nobody")).count() == 0
+
+
+def test_compaction_changes_no_row_and_a_crash_before_the_switch_changes_nothing(spark, tmp_path, rows, monkeypatch):
+    root = str(tmp_path)
+    put = lambda batch, *data: store.write_feature_group(
+        hourly_with_ts(spark.createDataFrame([("a", *d) for d in data], FRAME)), root, "g", 1, batch)
+    put(0, (490_000, 1.0, False), (490_001, 2.0, False), (491_500, 3.0, False))
+    put(1, (490_001, 20.0, False), (491_500, None, True))
+    put(2, (490_000, 100.0, False))
+    wanted = [(490_000, 100.0), (490_001, 20.0)]
+    read = lambda **k: rows(store.read_feature_group(spark, root, "g", 1, **k), HOUR, "v")
+    assert read() == wanted and store.pending_batches(spark, root, "g", 1) == 3
+    at_work = store.read_feature_group(spark, root, "g", 1)
+    real = spark.createDataFrame
+    with monkeypatch.context() as crash:
+        crash.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            store.compact_feature_group(spark, root, "g", 1, 1)
+    assert spark.createDataFrame.__func__ is real.__func__
+    assert read() == wanted and store.pending_batches(spark, root, "g", 1) == 3
+    assert store.compact_feature_group(spark, root, "g", 1, 1) == 1
+    assert read() == wanted and rows(at_work, HOUR, "v") == wanted
+    assert read(before_batch=2) == [(490_000, 1.0), (490_001, 20.0)]
+    assert store.pending_batches(spark, root, "g", 1) == 1
+    merged = spark.read.parquet(f"{store.group_path(root, 'g', 1)}/epoch=1")
+    assert merged.count() == 2 and merged.filter("_deleted").count() == 0
+    put(1, (490_001, -1.0, False))  # merged already: a replay does nothing
+    put(3, (490_002, 5.0, False))
+    assert read() == [*wanted, (490_002, 5.0)]
+    assert store.compact_feature_group(spark, root, "g", 1) == 2 and read() == [*wanted, (490_002, 5.0)]
+    assert store.compact_feature_group(spark, root, "g", 1) is None
+    assert store.compact_feature_group(spark, root, "absent", 1) is None
+
+
+def test_updates_with_compaction_equal_one_batch_run(spark, tmp_path, series):
+    root = str(tmp_path / "store")
+    start = 480_000
+    incremental.incremental_update(readings(series.filter(F.col(HOUR) < start + 300)), root, 0)
+    for batch, (lo, hi) in enumerate([(300, 304), (304, 312), (312, 330)], 1):
+        part = series.filter(F.col(HOUR).between(start + lo, start + hi - 1))
+        incremental.incremental_update(readings(part), root, batch, compact_every=3)
+    assert store.pending_batches(spark, root, incremental.FEATURES, 1) == 2
+    assert_same(stored(spark, root), complete(spark_features(series)))
+
+
+def test_a_faulty_series_waits_while_the_others_are_stored(spark, tmp_path, series):
+    root = str(tmp_path / "store")
+    cut = F.col(HOUR) < 480_320
+    incremental.incremental_update(readings(series.filter(cut)), root, 0)
+    broken = F.when((F.col(SERIES) == "a") & (F.col(HOUR) == 480_322), F.lit(float("inf"))).otherwise(F.col("pm25"))
+    new = series.filter(~cut).withColumn("pm25", broken)
+    nameless = new.filter(f"{SERIES} = 'b' AND {HOUR} = 480321").withColumn(SERIES, F.lit(None).cast("string"))
+    incremental.incremental_update(readings(new.unionByName(nameless)), root, 1)
+    got = stored(spark, root)
+    assert {k[0] for k in got if k[1] >= 480_320} == {"b"}
+    assert_same({k: v for k, v in got.items() if k[0] == "b"},
+                {k: v for k, v in complete(spark_features(series)).items() if k[0] == "b"})
+    waiting = store.read_feature_group(spark, root, incremental.QUARANTINE, 1)
+    assert {r[0] for r in waiting.select(SERIES).distinct().collect()} == {"a", None}
