@@ -158,7 +158,8 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page and of every document."""
     docs, pages = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "pages")
     rows = language.from_pages(pages).unionByName(language.from_documents(docs))
-    return language.identify(rows, language.fit(docs))
+    languages = language.languages_of(docs)
+    return language.identify(rows, language.fit(docs, languages), languages)
 
 
 @_query("op7_chat_format")

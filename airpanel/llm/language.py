@@ -35,6 +35,7 @@ by_value(__name__)
 
 LANGUAGES = ("de", "en", "es", "fr")
 PER_LANGUAGE = 2_000
+LEAST_LABELLED = 20      # rows that a label needs to be a language of the model
 BUCKETS = 1 << 15
 FULL_TRIGRAMS = 200.0
 SMOOTHING = 10.0         # rows that the next wider prior counts as
@@ -65,6 +66,13 @@ def _counted(batches: Iterator[pa.RecordBatch], languages: tuple[str, ...]) -> I
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["place", "n"])
 
 
+def languages_of(docs: DataFrame, least: int = LEAST_LABELLED) -> tuple[str, ...]:
+    """The labels of ``docs`` that ``least`` rows or more have, in order; at least two names, "und" filling up."""
+    counts = docs.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    found = sorted(r.lang for r in counts.where(F.col("lang").isNotNull() & (F.col("n") >= least)).collect())
+    return tuple(found + ["und", "unk"][:max(0, 2 - len(found))])
+
+
 def fit(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES, per_language: int = PER_LANGUAGE) -> np.ndarray:
     """Log-probabilities of the trigram buckets, one row per language."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))

@@ -10,8 +10,8 @@ Score: one linear scan finds all disjoint maximal segments of a document. Those
 The largest lambda * S - ln(K * n), the total over significant passages and their presence are mapped to a probability
 by a logistic fit on the same sample, weighted to the share of toxic labels among all training labels.
 
-Bounds: ``PER_CLASS`` labelled documents of each class, ``MAX_TERMS`` terms; only the fit is bounded, every text is
-scanned whole. Labels, language, source and id are no inputs of a score.
+Bounds: ``PER_CLASS`` labelled documents of each class, whose words are all candidates for terms; the driver sees the terms and
+three numbers of each sampled text. Only the fit is bounded, every text is scanned whole. Labels, language, source and id are no inputs of a score.
 
 Defined results: null or empty text has no words and gets the score of a text without evidence; null labels are left
 out, several labels of one id count as the largest; without both classes there are no terms and every score is the share of
@@ -32,13 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airpanel.llm.batches import by_value, slices, text_or_empty, unused
+from airpanel.llm.batches import by_value, slices, stored, text_or_empty, unused
 from airpanel.llm.sampling import fold, labelled_ids
 
 by_value(__name__)
 
 PER_CLASS = 10_000   # labelled documents of each class that a model is fitted on
-MAX_TERMS = 20_000
 PRIOR_SHARE = 0.05   # weight of the Dirichlet prior, as a share of all counted words
 PRIOR_LEAST = 0.5    # and its least weight for a word
 LEAST_Z = 3.0
@@ -63,9 +62,12 @@ def words_of(text: str) -> list[str]:
 def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[float, int, int]]:
     """(score, first word, end) of all maximal segments; ``scores`` holds (position, score) of terms, other words cost ``drift``.
 
-    Runs of other words are one step down, so the work is linear in the number of terms.
+    Runs of other words are one step down, so the work is linear in the number of terms: every open segment knows the
+    nearest one before it that starts lower, and once a segment starts lower than all open ones, those are final.
     """
+    done: list[list[float]] = []
     found: list[list[float]] = []  # left sum, right sum, first position, end
+    lower: list[int] = []          # the nearest earlier place in ``found`` with a smaller left sum
     total, upto = 0.0, 0
     for at, score in scores:
         total -= drift * (at - upto)
@@ -73,16 +75,22 @@ def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[float,
         if score <= 0:
             continue
         new = [left, total, at, at + 1]
-        while found:
-            j = len(found) - 1
+        j = len(found) - 1
+        while True:
             while j >= 0 and found[j][0] >= new[0]:
-                j -= 1
-            if j < 0 or found[j][1] >= new[1]:
+                j = lower[j]
+            if j < 0:
+                done += found
+                found, lower = [], []
                 break
-            new[0], new[2] = found[j][0], found[j][2]
-            del found[j:]
+            if found[j][1] >= new[1]:
+                break
+            new[0], new[2], before = found[j][0], found[j][2], lower[j]
+            del found[j:], lower[j:]
+            j = before
         found.append(new)
-    return [(right - left, int(a), int(b)) for left, right, a, b in found]
+        lower.append(j)
+    return [(right - left, int(a), int(b)) for left, right, a, b in done + found]
 
 
 def passages(words: list[str], model: Model) -> list[tuple[float, int, int]]:
@@ -92,16 +100,11 @@ def passages(words: list[str], model: Model) -> list[tuple[float, int, int]]:
     return [(model.decay * s - size, a, b) for s, a, b in segments(hits, DRIFT)]
 
 
-def _features(found: list[float], n: int, k: float) -> tuple[float, float, float]:
-    """From lambda * S - ln(n) of all segments: the largest evidence, the total over significant ones, and their presence."""
-    shift = math.log(k)
-    strong = [x - shift for x in found if x - shift >= -math.log(LARGEST_E)]
-    return max(found, default=-math.log(max(n, 1))) - shift, math.log1p(sum(strong)), float(bool(strong))
-
-
 def features(words: list[str], model: Model) -> tuple[float, float, float]:
-    shift = math.log(model.k)
-    return _features([x + shift for x, _, _ in passages(words, model)], len(words), model.k)
+    """The largest evidence, the total over significant passages, and whether there is one."""
+    found = [x for x, _, _ in passages(words, model)]
+    strong = [x for x in found if x >= -math.log(LARGEST_E)]
+    return max(found, default=-math.log(model.k * max(len(words), 1))), math.log1p(sum(strong)), float(bool(strong))
 
 
 def score(words: list[str], model: Model) -> float:
@@ -131,12 +134,19 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _largest(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """The largest evidence of each text."""
+    for batch in slices(batches, "text"):
+        found = [features(words_of(text), model)[0] for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.float64())], names=["toxic", "largest"])
+
+
 def _measured(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """The three features of each text."""
     for batch in slices(batches, "text"):
-        words = [words_of(text) for text in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), pa.array([len(w) for w in words], pa.int64()),
-             pa.array([[x for x, _, _ in passages(w, model)] for w in words], pa.list_(pa.float64()))], names=["toxic", "n", "found"])
+        found = [features(words_of(text), model) for text in batch.column("text").to_pylist()]
+        columns = [pa.array([x[i] for x in found], pa.float64()) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([batch.column("toxic"), *columns], names=["toxic", "largest", "total", "present"])
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -207,28 +217,31 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     if not shares.get(0) or not shares.get(1):
         return Model(weights=(math.log(prior / (1 - prior)) if 0 < prior < 1 else 40.0 * (2 * prior - 1), 0.0, 0.0, 0.0))
     sample = F.broadcast(labelled_ids(known, "toxic", (0, 1), per_class))  # at most 2 * per_class pairs of numbers
-    rows = _texts(docs).join(sample, "doc_id").select("text", "toxic")
+    rows = stored(_texts(docs).join(sample, "doc_id").select("text", "toxic"), "toxicity-sample")
     counted = (rows.mapInArrow(_counted, "word string, toxic long, docs long, tokens long").groupBy("word").agg(
         F.sum(F.expr("IF(toxic = 1, docs, 0)")).alias("a"), F.sum(F.expr("IF(toxic = 0, docs, 0)")).alias("b"),
         F.sum(F.expr("IF(toxic = 0, tokens, 0)")).alias("clean")))
+    counted = stored(counted, "toxicity-words")
     whole = counted.agg(F.sum("a"), F.sum("b"), F.sum("clean")).first()
     total_a, total_b, total_clean = (max(1, x or 0) for x in whole)
     alpha, weight = F.greatest(PRIOR_SHARE * (F.col("a") + F.col("b")), F.lit(PRIOR_LEAST)), PRIOR_SHARE * (total_a + total_b)
     odds = lambda n, total: F.log((F.col(n) + alpha) / (total + weight - F.col(n) - alpha))
     delta, spread = odds("a", total_a) - odds("b", total_b), F.sqrt(1 / (F.col("a") + alpha) + 1 / (F.col("b") + alpha))
     terms = (counted.where(F.col("a") + F.col("b") >= LEAST_DOCS).withColumn("delta", delta).withColumn("z", delta / spread)
-             .where(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "word").limit(MAX_TERMS).select("word", "delta", "clean").collect())
+             .where(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "word").select("word", "delta", "clean").collect())
     model = Model(terms={r.word: r.delta for r in terms})
     if terms:
         p = np.array([max(r.clean, 0.5) for r in terms], float) / total_clean
         model.decay = _decay(p, np.array([r.delta for r in terms]), max(0.0, 1 - float(p.sum())))
-    seen = rows.mapInArrow(partial(_measured, model=model), "toxic long, n long, found array<double>").collect()  # the sample's size
+    # With K = 1, evidence is lambda * S - ln(n), and K = N / sum(n * exp(-lambda * S)) over clean texts is the likeliest.
+    clean = rows.where("toxic = 0").mapInArrow(partial(_largest, model=model), "toxic long, largest double").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.exp(-F.col("largest"))).alias("s")).first()
+    model.k = clean.n / clean.s if clean.n else 1.0
+    seen = rows.mapInArrow(  # three numbers of each text of the sample
+        partial(_measured, model=model), "toxic long, largest double, total double, present double").collect()
     if not seen:
         return model
-    # With K = 1, evidence is lambda * S - ln(n), and K = N / sum(n * exp(-lambda * S)) is the likeliest.
-    clean = np.array([_features(r.found, r.n, 1.0)[0] for r in seen if r.toxic == 0])
-    model.k = float(len(clean) / np.exp(-clean).sum()) if len(clean) else 1.0
-    x = np.array([_features(r.found, r.n, model.k) for r in seen])
+    x = np.array([r[1:] for r in seen], float)
     y = np.array([r.toxic for r in seen], float)
     weight = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9))
     model.weights = _logistic(x, y, weight)

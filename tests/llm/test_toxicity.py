@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -90,15 +91,28 @@ def brute_segments(scores, n, drift):
 
 
 def test_segments_equal_their_definition():
-    for seed in range(60):
+    for seed in range(300):
         r = random.Random(seed)
-        n = r.randrange(1, 26)
+        n = r.randrange(1, 22)
         scores = sorted({i: r.uniform(-2, 3) for i in r.sample(range(n), r.randrange(0, n + 1))}.items())
         got, want = segments(scores, DRIFT), brute_segments(scores, n, DRIFT)
         assert [(a, b) for _, a, b in got] == [(a, b) for _, a, b in want]
         assert np.allclose([s for s, _, _ in got], [s for s, _, _ in want])
 
 
+def test_long_texts_are_scanned_in_linear_time():
+    shapes = [
+        [(10 * i, 0.5) for i in range(100_000)],                                   # negative drift: every segment starts lower
+        [(i, 1.0 if i % 2 else -0.9) for i in range(100_000)],                     # one growing segment
+        [(i, -1.0 if i % 3 else 1.5) for i in range(100_000)],
+        [(i, 100.0 / (i + 1) * (-1.0 if i % 2 else 1.0)) for i in range(100_000)],  # open ones pile up
+    ]
+    for hits in shapes:
+        began = time.perf_counter()
+        segments(hits, DRIFT)
+        assert time.perf_counter() - began < 2
+
+
 def test_decay_solves_its_equation():
     p, s = np.array([0.001, 0.002, 0.01]), np.array([4.0, 2.0, -1.0])
     x = _decay(p, s, 1 - p.sum())
