@@ -265,8 +265,9 @@ def links(docs: DataFrame, rows: DataFrame, words: int, num: int, den: int) -> D
         F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     posted = stored(_postings(reps, least), "near-postings")
     # One row of each candidate class, by the row key; then its shingles once more.
-    some = (rows.join(posted.select("set_id"), "set_id", "left_semi")
-            .groupBy("set_id").agg(F.min(F.struct("doc_id", "text_key")).alias("key")).select("key"))
+    # Copies are merged before they are joined, so a set that many rows share is no hot key.
+    some = (rows.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_key")).alias("key"))
+            .join(posted.select("set_id"), "set_id", "left_semi").select("key"))
     texts = _texts(docs)
     needed = texts.withColumn("key", F.struct("doc_id", "text_key")).join(some, "key", "left_semi").select("text")
     sets = stored(needed.mapInArrow(partial(_full_sets, words=words), "set_id binary, shingles array<long>, cells binary")
