@@ -15,6 +15,7 @@ from airpanel.catalog.tables import keyed
 from airpanel.catalog.timeseries import raw_times
 from airpanel.functions.timefn import hour_number, hour_to_utc
 from airpanel.operators import timegrid
+from airpanel.plans import backfill
 from airpanel.schemas import HOUR, POLLUTANTS, SERIES
 from airpanel.sources import planning, readers, store, writers
 
@@ -250,6 +251,43 @@ def s14_missing(t: Tables) -> DataFrame:
     return planning.chunks_to_load(planning.backfill_plan(ends, days=60, earliest=473_000), loaded)
 
 
+def _run(t: Tables, stops: list[int | None]) -> tuple[DataFrame, str]:
+    """A backfill of the last 60 days from the backfilled readings, in one or several runs; (plan, folder)."""
+    readings = t.readings()
+    ends = timegrid.hourly_mean(readings).groupBy(SERIES).agg((F.max(HOUR) + 1).alias("end_hr"))
+    plan = planning.backfill_plan(ends, days=60, earliest=473_000)
+    root = t.folder("backfill")
+    for stop in stops:
+        backfill.run_backfill(plan, readings.filter("is_backfilled"), root, chunks_per_step=3, stop_after=stop)
+    return plan, root
+
+
+@query("s14_backfill_ledger", sql=f"""
+{_PLAN}, bf AS (SELECT DISTINCT series_id, hr FROM ev WHERE is_backfilled)
+SELECT pl.series_id, chunk_start, chunk_end, CASE WHEN count(bf.hr) > 0 THEN 'landed' ELSE 'failed' END AS status,
+  count(bf.hr) AS n_hours FROM pl LEFT JOIN bf ON bf.series_id = pl.series_id AND bf.hr >= chunk_start AND bf.hr < chunk_end
+GROUP BY ALL""")
+def s14_ledger(t: Tables) -> DataFrame:
+    """What became of every chunk after a run that stopped half way and a second one."""
+    plan, root = _run(t, [1, None])
+    return backfill.chunk_states(plan, root)
+
+
+@query("s14_backfill_run", floats="pm25 aqi_change_rate", sql=f"""
+{_PLAN}, ip AS (SELECT e.* FROM ev e WHERE NOT is_backfilled OR EXISTS (
+  SELECT 1 FROM pl WHERE pl.series_id = e.series_id AND e.hr >= chunk_start AND e.hr < chunk_end)),
+pk AS (SELECT *, {S.aqi('pm25')} AS aqi FROM (SELECT *, row_number() OVER (
+  PARTITION BY series_id, hr ORDER BY is_backfilled, ingest_seq DESC) AS pick FROM ip) WHERE pick = 1)
+SELECT series_id, hr, pm25, is_backfilled, CAST(coalesce(aqi - lag(aqi) OVER (
+  PARTITION BY series_id ORDER BY observed_at), 0) AS DOUBLE) AS aqi_change_rate FROM pk""")
+def s14_run(t: Tables) -> DataFrame:
+    """Backfilled in two runs, merged with the live readings, deduplicated and written."""
+    _, root = _run(t, [1, None])
+    live = t.readings().filter("NOT is_backfilled")
+    return backfill.merge_backfill(t.spark, live, root, t.folder("merged")).select(
+        SERIES, HOUR, "pm25", "is_backfilled", "aqi_change_rate")
+
+
 @query("s14_weather_date_chunks", sql="""
 SELECT series_id, CAST(s AS DATE) AS chunk_first, least(CAST(s + INTERVAL 364 DAY AS DATE), hi) AS chunk_last
 FROM (SELECT *, unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 365 DAY)) AS s FROM (

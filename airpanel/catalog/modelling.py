@@ -454,11 +454,11 @@ def e3_panel_daily(t: Tables) -> DataFrame:
   (VALUES {', '.join(f'({h})' for h in S.HORIZONS)}) AS h(horizon)),
 n AS (SELECT a.series_id, a.horizon, count(l.series_id) AS n_rows FROM asked a
   LEFT JOIN lg l ON l.series_id = a.series_id AND l.horizon = a.horizon GROUP BY ALL)
-SELECT series_id, CAST(horizon AS INTEGER) AS horizon, n_rows, 'only ' || n_rows || ' usable rows' AS reason FROM n WHERE n_rows < 2 * 215""")
+SELECT series_id, CAST(horizon AS INTEGER) AS horizon, n_rows, 'only ' || n_rows || ' usable rows' AS reason FROM n WHERE n_rows < 2 * 240""")
 def e3_skipped(t: Tables) -> DataFrame:
-    """Series and horizons with too few rows, and why, if a training set needs 215."""
+    """Series and horizons with too few rows, and why, if a training set needs 240."""
     features = hourly_features(t)
-    return evaluate.skipped_cells(features, training_rows(features), S.HORIZONS, FOLDS, 215)
+    return evaluate.skipped_cells(features, training_rows(features), S.HORIZONS, FOLDS, 240)
 
 
 def _winners(t: Tables) -> tuple[DataFrame, training.Panel, DataFrame]:

@@ -393,10 +393,7 @@ SELECT section, series_id, item, CAST(value AS DOUBLE) AS value FROM (
   UNION ALL SELECT 'cells', series_id, 'n_sentinels', neg FROM cc
   UNION ALL SELECT 'cells', series_id, 'n_capped', cap FROM cc)""")
 def q5(t: Tables) -> DataFrame:
-    readings = t.faulty_readings()
-    grid = timegrid.hourly_grid(timegrid.hourly_mean(readings, mask="none"))
-    return quality.audit_report(
-        readings, grid, timegrid.daily_mean(readings), aggregates.cell_counts(readings))
+    return quality.audit_report(t.faulty_readings())
 
 
 __all__ = ["keyed", "raw_times"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from airpanel.operators.timegrid import series_window
 from airpanel.schemas import HOUR, POLLUTANTS, SERIES
+from airpanel.session import stored
 
 
 def series_stats(df: DataFrame, time: str = "ts", value: str = "aqi") -> DataFrame:
@@ -32,28 +33,32 @@ def _value_bucket(value: Column) -> Column:
 
 
 def describe(df: DataFrame, col: str, by: str = SERIES) -> DataFrame:
-    """count, mean, std, min, quartiles (linear between ranks), max per group.
+    """count, mean, std, min, quartiles (linear between ranks), max per group; a group without values has a count of 0.
 
-    Exact quartiles without holding a group in one buffer: rows are first reduced
-    to counts per distinct value; ranks are then found in two levels, unit-wide
-    buckets of a group and the values of one bucket.
+    The rows are read once, for the counts of each value, which are stored; everything else comes from them. Exact
+    quartiles without holding a group in one buffer: ranks are found in two levels, buckets of a group (at most
+    65,536 an octave, whatever the number of rows) and the values of one bucket.
     """
-    counts = (df.filter(F.col(col).isNotNull())
-              .groupBy(by, F.col(col).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
-              .withColumn("_b", _value_bucket(F.col("_v"))))
-    buckets = counts.groupBy(by, "_b").agg(F.sum("_n").alias("_bn"))
-    before = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    value = F.col(col).cast("double")
+    counts = stored(df.groupBy(by, value.alias("_v")).agg(F.count(col).alias("_n"))
+                    .withColumn("_b", F.coalesce(_value_bucket(F.col("_v")), F.lit(0).cast("bigint"))), "value-counts")
+    whole = Window.partitionBy(by)
+    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = counts.groupBy(by, "_b").agg(F.sum("_n").alias("_bn"), F.sum(F.col("_n") * F.col("_v")).alias("_bs"))
     buckets = buckets.select(
         by, "_b",
         F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_start"),
-        F.sum("_bn").over(Window.partitionBy(by)).alias("_total"))
+        F.sum("_bn").over(whole).alias("_total"),
+        (F.sum("_bs").over(whole) / F.sum("_bn").over(whole)).alias("_mean"))
     inside = Window.partitionBy(by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (counts.join(buckets, [by, "_b"])
+    # Groups may be null, so they are compared as structs would be.
+    other = buckets.select(F.col(by).alias("_by"), F.col("_b").alias("_bb"), "_start", "_total", "_mean")
+    ranked = (counts.join(other, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_b") == F.col("_bb")))
               .withColumn("_upto", F.col("_start") + F.sum("_n").over(inside)))
 
     def at_rank(rank):
         # Smallest value whose cumulative count passes a zero-based rank.
-        return F.min(F.when(F.col("_upto") > rank, F.col("_v")))
+        return F.min(F.when((F.col("_upto") > rank) & (F.col("_n") > 0), F.col("_v")))
 
     picks = []
     for percent in (25, 50, 75):
@@ -61,17 +66,17 @@ def describe(df: DataFrame, col: str, by: str = SERIES) -> DataFrame:
         picks += [at_rank(F.floor(position)).alias(f"_lo{percent}"),
                   at_rank(F.ceil(position)).alias(f"_hi{percent}"),
                   F.max(position - F.floor(position)).alias(f"_f{percent}")]
-    quartiles = ranked.groupBy(by).agg(*picks)
-    moments = df.groupBy(by).agg(
-        F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
-        F.min(col).cast("double").alias("min"), F.max(col).cast("double").alias("max"))
+    apart = F.sum(F.col("_n") * (F.col("_v") - F.col("_mean")) ** 2)
+    found = ranked.groupBy(by).agg(
+        F.sum("_n").alias("count"), F.first("_mean").alias("mean"), F.min("_v").alias("min"), F.max("_v").alias("max"),
+        apart.alias("_apart"), *picks)
 
     def quartile(percent):
         low, high, part = (F.col(f"_{name}{percent}") for name in ("lo", "hi", "f"))
         return low + (high - low) * part
 
-    return moments.join(quartiles, by, "left").select(
-        by, "count", "mean", "std", "min",
+    return found.select(
+        by, "count", "mean", F.when(F.col("count") > 1, F.sqrt(F.col("_apart") / (F.col("count") - 1))).alias("std"), "min",
         quartile(25).alias("q25"), quartile(50).alias("q50"), quartile(75).alias("q75"), "max")
 
 

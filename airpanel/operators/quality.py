@@ -8,9 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airpanel.operators.aggregates import coverage, null_profile, regime_variability, worst_gap
+from airpanel.functions.aqi import aqi_from_pm25
+from airpanel.functions.timefn import DEFAULT_ZONE, hour_number, local_day
+from airpanel.operators.aggregates import regime_variability, worst_gap
 from airpanel.operators.relational import latest_per_key
-from airpanel.schemas import SERIES
+from airpanel.operators.timegrid import hourly_grid
+from airpanel.schemas import HOUR, POLLUTANTS, SERIES
+from airpanel.session import stored
 
 
 def _problems(spark: SparkSession, check: str, subjects: list[str]) -> DataFrame:
@@ -104,11 +108,40 @@ def freshness_gate(
             .drop("_latest"))
 
 
-def audit_report(
-    readings: DataFrame, grid: DataFrame, daily: DataFrame, cells: DataFrame,
-    time: str = "observed_at",
-) -> DataFrame:
-    """One long table (section, series_id, item, value) over every audit aggregate."""
+def audit_hours(readings: DataFrame, time: str = "observed_at", zone: str = DEFAULT_ZONE) -> DataFrame:
+    """One row per series, UTC hour and local day with everything the audit sums up.
+
+    Every column's NULLs, the pollutants' sums and counts, rows, first and last time, negative and capped values.
+    """
+    negatives = sum((F.when(F.col(c) < 0, 1).otherwise(0) for c in POLLUTANTS), F.lit(0))
+    sums = [f(c).alias(f"_{name}_{c}") for c in POLLUTANTS for name, f in (("sum", F.sum), ("count", F.count))]
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in readings.columns]
+    return readings.groupBy(
+        F.col(SERIES), hour_number(F.col(time)).alias(HOUR), local_day(F.col(time), zone).alias("date")).agg(
+        F.count("*").alias("_n"), F.min(time).alias("_lo"), F.max(time).alias("_hi"), F.sum(negatives).alias("_neg"),
+        F.count_if(F.col("pm25") > 500.4).alias("_cap"), *sums, *nulls)
+
+
+def audit_report(readings: DataFrame, time: str = "observed_at", zone: str = DEFAULT_ZONE) -> DataFrame:
+    """One long table (section, series_id, item, value) over every audit aggregate.
+
+    The readings are read once and reduced to hours, which are stored; all sections come from those.
+    """
+    hours = stored(audit_hours(readings, time, zone), "audit-hours")
+    total = hours.agg(F.sum("_n").alias("_rows"), *[F.sum(f"_null_{c}").alias(c) for c in readings.columns])
+    nulls = (total.unpivot(["_rows"], readings.columns, "item", "_nulls").filter("_nulls > 0")
+             .select(F.lit("nulls").alias("section"), F.lit(None).cast("string").alias(SERIES), "item",
+                     (F.col("_nulls") * 100.0 / F.col("_rows")).alias("value")))
+    means = lambda: [(F.sum(f"_sum_{c}") / F.sum(f"_count_{c}")).alias(c) for c in POLLUTANTS]
+    daily = hours.groupBy(SERIES, "date").agg(*means()).withColumn("aqi", aqi_from_pm25("pm25").cast("double"))
+    grid = hourly_grid(hours.groupBy(SERIES, HOUR).agg(*means()))
+    seconds = F.unix_seconds(F.max("_hi").cast("timestamp")) - F.unix_seconds(F.min("_lo").cast("timestamp"))
+    days = F.floor(seconds / 86400).cast("bigint")
+    cells = hours.groupBy(SERIES).agg(
+        F.sum("_n").alias("n_rows"), days.alias("span_days"),
+        (F.sum("_n") * 100.0 / F.greatest(days * 24, F.lit(1))).alias("coverage_pct"),
+        F.count_distinct(HOUR).alias("n_hours"), F.sum("_neg").alias("n_sentinels"), F.sum("_cap").alias("n_capped"))
+
     def melt(df: DataFrame, section: str, items: list[str], label: str | None = None) -> DataFrame:
         cast = df.select(
             SERIES, *([label] if label else []), *[F.col(c).cast("double").alias(c) for c in items])
@@ -118,12 +151,9 @@ def audit_report(
 
     regimes = regime_variability(daily).withColumn(
         "_when", F.concat("year", F.lit("Q"), "quarter"))
-    nulls = null_profile(readings).select(
-        F.lit("nulls").alias("section"), F.lit(None).cast("string").alias(SERIES),
-        F.col("column_name").alias("item"), F.col("null_pct").alias("value"))
     parts = [
         nulls,
-        melt(coverage(readings, time), "coverage", ["n_rows", "span_days", "coverage_pct"]),
+        melt(cells, "coverage", ["n_rows", "span_days", "coverage_pct"]),
         melt(regimes, "variability", ["change_std"], "_when"),
         melt(worst_gap(grid), "worst_gap", ["n_missing", "missing_pct"]),
         melt(cells, "cells", ["n_rows", "n_hours", "n_sentinels", "n_capped"]),

@@ -426,3 +426,33 @@ def test_a_faulty_series_waits_while_the_others_are_stored(spark, tmp_path, seri
                 {k: v for k, v in complete(spark_features(series)).items() if k[0] == "b"})
     waiting = store.read_feature_group(spark, root, incremental.QUARANTINE, 1)
     assert {r[0] for r in waiting.select(SERIES).distinct().collect()} == {"a", None}
+
+
+def test_a_stopped_backfill_goes_on_and_lists_failed_ranges(spark, tmp_path, rows):
+    from airpanel.plans import backfill
+
+    kind = f"{SERIES} STRING, {HOUR} BIGINT, pm25 DOUBLE, is_backfilled BOOLEAN, ingest_seq BIGINT"
+    data = [("a", 480_000 + i, float(i), True, i) for i in range(0, 60, 2)]
+    data += [("a", 480_004, 99.0, True, 900), ("b", 480_001, 5.0, True, 1), ("b", 480_055, 6.0, True, 2)]
+    landed = readings(spark.createDataFrame(data, kind)).drop(HOUR)
+    plan = spark.createDataFrame([(s, 480_000 + c, 480_010 + c) for s in "ab" for c in range(0, 60, 10)],
+                                 f"{SERIES} STRING, chunk_start BIGINT, chunk_end BIGINT")
+    live = readings(spark.createDataFrame([("a", 480_002, 1.5, False, 5)], kind)).drop(HOUR)
+    results = []
+    for name, stops in (("once", [None]), ("twice", [1, None])):
+        root = str(tmp_path / name)
+        assert {r.status for r in backfill.chunk_states(plan, root).collect()} == {"pending"}
+        made = [backfill.run_backfill(plan, landed, root, chunks_per_step=3, stop_after=n) for n in stops]
+        assert made == ([2] if name == "once" else [1, 2])
+        failed = {(r[0], r[1]) for r in backfill.failed_ranges(plan, root).collect()}
+        assert failed == {("b", 480_000 + c) for c in range(10, 50, 10)}
+        table = backfill.merge_backfill(spark, live, root, f"{root}/merged")
+        results.append((rows(backfill.chunk_states(plan, root)), rows(table, SERIES, HOUR, "pm25", "aqi_change_rate")))
+    assert results[0] == results[1]
+    values = {(r[0], r[1]): r[2] for r in results[0][1]}
+    assert len(values) == 32 and values["a", 480_004] == 99.0 and values["a", 480_002] == 1.5
+    # A later delivery of a failed range is taken; what landed is not read again.
+    late = readings(spark.createDataFrame([("b", 480_020, 7.0, True, 3), ("a", 480_000, -1.0, True, 999)], kind)).drop(HOUR)
+    assert backfill.run_backfill(plan, late, str(tmp_path / "once"), chunks_per_step=3) == 2
+    again = rows(backfill.merge_backfill(spark, live, str(tmp_path / "once"), str(tmp_path / "m2")), SERIES, HOUR, "pm25")
+    assert len(again) == 33 and ("b", 480_020, 7.0) in again and ("a", 480_000, 0.0) in again
