@@ -307,7 +307,7 @@ def fit_trees(
         rows, key, chosen = rows.withColumn("fold", F.explode(each)), [*CELL, "fold"], None
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Little data, much work per cell: a fixed number of partitions keeps them from being merged into one task.
-    return (rows.repartition(tasks, *key).groupBy(*key).cogroup(lines.repartition(tasks, *key).groupBy(*key))
+    return (rows.repartition(tasks, *key).groupBy(*key).cogroup(_fresh(lines).repartition(tasks, *key).groupBy(*key))
             .applyInArrow(partial(_fit_cell, features=list(features), specs=dict(specs), folds=chosen, min_train=min_train),
                           MODEL))
 
@@ -364,6 +364,11 @@ def _predict_cell(rows: pa.Table, models: pa.Table, features: list[str], names:
     return out
 
 
+def _fresh(df: DataFrame) -> DataFrame:
+    """The same columns under identities of their own, for a cogroup with rows that were made from them."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def predict_trees(rows: DataFrame, models: DataFrame, features: list[str], names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(series, horizon, fold, *keep) and a prediction per name for every row; null where there is no such model.
 
@@ -376,7 +381,7 @@ def predict_trees(rows: DataFrame, models: DataFrame, features: list[str], names
     columns = [f"_x_{c}" for c in features]
     kind = T.StructType([f for f in own.schema.fields if f.name not in columns]
                         + [T.StructField(n, T.DoubleType()) for n in names])
-    return own.groupBy(*key).cogroup(models.filter(F.col("model").isin(*names)).groupBy(*key)).applyInArrow(
+    return own.groupBy(*key).cogroup(_fresh(models.filter(F.col("model").isin(*names))).groupBy(*key)).applyInArrow(
         partial(_predict_cell, features=columns, names=list(names)), kind)
 
 
@@ -411,7 +416,7 @@ def tree_contributions(rows: DataFrame, models: DataFrame, features: list[str],
     own = rows.select(
         SERIES, F.col("horizon").cast("int").alias("horizon"), F.col("fold").cast("int").alias("fold"),
         F.col(order).cast("bigint").alias(HOUR), *[F.col(c).cast("double").alias(f"_x_{c}") for c in features])
-    return own.groupBy(*key).cogroup(models.groupBy(*key)).applyInArrow(
+    return own.groupBy(*key).cogroup(_fresh(models).groupBy(*key)).applyInArrow(
         partial(_attribute_cell, features=[f"_x_{c}" for c in features]), _ATTRIBUTED)
 
 

@@ -9,7 +9,7 @@ from airpanel.functions.aqi import categorise
 from airpanel.functions.scalars import alert_severity, band_high, band_low, clip
 from airpanel.models.evaluate import CELL
 from airpanel.models.linear import predict_linear
-from airpanel.models.trees import PACKED, PACKED_FIELDS, predict_trees
+from airpanel.models.trees import PACKED_FIELDS, predict_trees
 from airpanel.operators.relational import (
     breaches, latest_row, require_columns, tail_window, top_features)
 from airpanel.schemas import HOURLY_FEATURES, SERIES
@@ -62,11 +62,15 @@ def forecast(
     stored trees for the others. A model that yields no number for a series leaves that horizon out.
     """
     names = names or HOURLY_FEATURES
-    for c, kind in {"k": "double", "intercept": "double", "weights": "array<double>", "trees": PACKED}.items():
+    for c, kind in {"k": "double", "intercept": "double", "weights": "array<double>"}.items():
         if c not in models.columns:
             models = models.withColumn(c, F.lit(None).cast(kind))
-    scored = (latest.join(models.drop("trees"), SERIES).join(tree_values(latest, models, names), CELL, "left")
-              .withColumn("_delta", predicted_delta(names)))
+    scored = latest.join(models.drop("trees"), SERIES)
+    if "trees" in models.columns:
+        scored = scored.join(tree_values(latest, models, names), CELL, "left")
+    else:
+        scored = scored.withColumn("tree_value", F.lit(None).cast("double"))
+    scored = scored.withColumn("_delta", predicted_delta(names))
     time = "ts" if unit == "hours" else "date"
     ahead = (F.col(time) + F.make_dt_interval(hours=F.col("horizon")) if unit == "hours"
              else F.date_add(time, F.col("horizon")))

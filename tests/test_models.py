@@ -369,6 +369,9 @@ def test_every_kind_of_winner_is_served(spark):
         SERIES, F.timestamp_seconds(F.lit(0)).alias("ts"), *[F.lit(v).alias(c) for c, v in now.items()])
     skill = models.select(SERIES, "horizon", F.lit(1.0).alias("rmse"), F.lit(1.0).alias("gain"), "model")
     got = {r.model: r.aqi - 50 for r in serving.forecast(latest, models, skill, names).collect()}
+    # Models that were never stored, and models without any tree.
+    bare = serving.forecast(latest, models.drop("trees").filter("model IN ('ridge', 'persistence')"), skill, names)
+    assert {r.model for r in bare.collect()} == {"ridge", "persistence"}
     tree = trees._Walker(fits.first().asDict()).predict(np.array([[1.0, 1.0, 1.0, 40.0, 5.0]]))[0]
     line = 2.0 + 3.0 + 45.0
     assert got == pytest.approx({
