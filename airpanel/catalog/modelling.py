@@ -636,10 +636,11 @@ fc AS (SELECT w.series_id, w.horizon, nw.ts + w.horizon * INTERVAL 1 HOUR AS ts,
 
 def _serve(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(forecast points, latest rows) from the baselines' winners."""
-    features = hourly_features(t).persist()
-    rows = training_rows(features)
-    summary = evaluate.cross_validate(rows, FOLDS, MIN_TRAIN).persist()
-    folded = evaluate.expanding_folds(rows, FOLDS, MIN_TRAIN)
+    features = stored(hourly_features(t), "features")
+    folded = stored(evaluate.expanding_folds(training_rows(features), FOLDS, MIN_TRAIN), "folds")
+    test, names = training.candidate_predictions(folded, folded, folded, (), ())
+    summary = stored(evaluate.fold_summary(evaluate.score(
+        test, {n: F.col(n) for n in names}, evaluate.HOURLY_CANDIDATES)), "metrics")
     k = evaluate.fit_reversion_k(folded, "aqi_minus_roll24").filter("fold = 0").drop("fold")
     models = evaluate.pick_winner(summary).select(*CELL, "model").join(k, CELL)
     latest = serving.latest_features(features)
