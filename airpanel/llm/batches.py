@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 
@@ -57,7 +58,23 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of all batches in slices with about ``limit`` bytes of text; every row is in one slice."""
+    """The rows of all batches in slices with about ``limit`` bytes of text; every row is in one slice.
+
+    Workers live on between tasks and stages, so what a task's arrays leave free goes back to the system at its end.
+    """
+    yield from _slices(batches, column, limit)
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory of Arrow and the C library to the system, where they can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
