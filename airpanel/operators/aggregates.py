@@ -87,7 +87,7 @@ def null_profile(df: DataFrame, threshold_pct: float = 0.0, top: int | None = No
         *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     long = (total.unpivot(["_rows"], df.columns, "column_name", "n_null")
             .select("column_name", F.col("n_null").cast("bigint").alias("n_null"),
-                    (F.col("n_null") * 100.0 / F.col("_rows")).alias("null_pct"))
+                    F.try_divide(F.col("n_null") * 100.0, F.col("_rows")).alias("null_pct"))
             .filter(F.col("null_pct") > threshold_pct)
             .orderBy(F.col("null_pct").desc(), "column_name"))
     return long if top is None else long.limit(top)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from airpanel.functions.aqi import aqi_from_pm25
 from airpanel.functions.timefn import DEFAULT_ZONE, hour_number, local_day
-from airpanel.operators.aggregates import regime_variability, worst_gap
+from airpanel.operators.aggregates import null_profile, regime_variability, worst_gap
 from airpanel.operators.relational import latest_per_key
 from airpanel.operators.timegrid import hourly_grid
 from airpanel.schemas import HOUR, POLLUTANTS, SERIES
@@ -80,6 +80,14 @@ def validate_features(df: DataFrame, pk: list[str], text_ok: list[str] | None =
     return problems
 
 
+def _one_decimal(value: Column) -> Column:
+    """Text with one decimal, rounded as C does: by the exact binary value, ties to even (``format_string`` rounds them up)."""
+    tenths = 8 * value + 2 * value
+    lacking = 2 * value - (tenths - 8 * value)  # ten times the value is exactly tenths + lacking
+    nearest = F.when((tenths - F.floor(tenths) == 0.5) & (lacking != 0), F.floor(tenths) + (lacking > 0).cast("int"))
+    return F.format_string("%.1f", F.coalesce(nearest.cast("double"), F.rint(tenths)) / 10)
+
+
 def describe_frame(df: DataFrame, key: str = "ts", top: int = 6) -> DataFrame:
     """Row and column count, key range, and the columns with the most NULLs, as (item, detail) text."""
     shape = df.agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
@@ -91,7 +99,7 @@ def describe_frame(df: DataFrame, key: str = "ts", top: int = 6) -> DataFrame:
     ])
     nulls = null_profile(df, top=top).select(
         F.concat(F.lit("nulls in "), "column_name").alias("item"),
-        F.format_string("%.1f", F.col("null_pct")).alias("detail"))
+        _one_decimal(F.col("null_pct")).alias("detail"))
     return head.unionByName(nulls)
 
 

@@ -164,6 +164,18 @@ def test_validation_problems(spark, rows):
         ("missing key column", "absent")]
 
 
+def test_description_of_a_frame(spark, rows):
+    # Shares of 6.25, 18.75 and 0.15 percent: ties go to even, and 0.15 lies below its tie.
+    df = spark.range(80).select("id", F.col("id").alias(HOUR), F.when(F.col("id") >= 5, 1.0).alias("few"), F.when(F.col("id") >= 15, "x").alias("more"))
+    assert rows(quality.describe_frame(df, key=HOUR)) == [
+        ("columns", "4"), ("first", "0"), ("last", "79"), ("nulls in few", "6.2"), ("nulls in more", "18.8"), ("rows", "80")]
+    long = spark.range(2000).select(F.col("id").alias(HOUR), F.when(F.col("id") >= 3, 1).alias("rare"))
+    assert ("nulls in rare", "0.1") in rows(quality.describe_frame(long, key=HOUR))
+    assert rows(quality.describe_frame(df.limit(0), key=HOUR)) == [("columns", "4"), ("first", None), ("last", None), ("rows", "0")]
+    shares = spark.range(10_001).select((F.col("id") * 100.0 / 10_000).alias("share"))
+    assert all(r[1] == f"{r[0]:.1f}" for r in shares.select("share", quality._one_decimal(F.col("share"))).collect())
+
+
 def readings(hourly):
     """Hourly means as readings, one per hour."""
     return hourly_with_ts(hourly).withColumnRenamed("ts", "observed_at")
