@@ -162,9 +162,34 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(rows, language.fit(docs, languages), languages)
 
 
-@_query("op7_chat_format")
+@_query("op7_chat_format", rf"""
+WITH asked AS (SELECT c.*, (SELECT max(u.turn) FROM conversations u
+    WHERE u.conv_id = c.conv_id AND u.role = 'user' AND u.turn < c.turn) AS asked FROM conversations c),
+answers AS (SELECT conv_id, asked, min(turn) AS turn FROM asked WHERE role = 'assistant' AND asked IS NOT NULL GROUP BY 1, 2),
+worded AS (SELECT *, 'call_' || CAST(turn AS VARCHAR) AS call_id, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS words
+  FROM asked WHERE role = 'user'),
+written AS (SELECT *, CASE WHEN text IS NULL THEN to_json({{words: words}}) ELSE to_json({{question: text, words: words}}) END AS arguments FROM worded),
+calls AS (SELECT w.*, a.turn AS partner_turn, row_number() OVER (PARTITION BY w.conv_id, w.call_id ORDER BY left(md5(concat_ws(':', role, w.turn, text)), 16)) AS nth,
+    CAST(2 * (SELECT count(*) FROM answers b WHERE b.conv_id = w.conv_id AND b.turn <= w.turn) AS INTEGER) AS level
+  FROM written w LEFT JOIN answers a ON a.conv_id = w.conv_id AND a.asked = w.turn),
+results AS (SELECT a.*, row_number() OVER (PARTITION BY conv_id, asked ORDER BY turn, left(md5(concat_ws(':', role, turn, text)), 16)) AS nth,
+    'call_' || CAST(asked AS VARCHAR) AS call_id,
+    CAST(2 * (SELECT count(*) FROM answers b WHERE b.conv_id = a.conv_id AND b.turn <= a.asked) + 1 AS INTEGER) AS level
+  FROM asked a WHERE role = 'assistant')
+SELECT conv_id, turn, 'call' AS kind, call_id,
+  CASE WHEN conv_id IS NULL OR turn IS NULL THEN 'open' WHEN nth > 1 THEN 'repeated' WHEN partner_turn IS NOT NULL THEN 'linked' ELSE 'open' END AS status,
+  CASE WHEN conv_id IS NOT NULL AND turn IS NOT NULL THEN level END AS level, turn AS order_turn, partner_turn,
+  CASE WHEN text IS NULL THEN '$.question: missing; $.words: below minimum' WHEN text = '' THEN '$.question: too short; $.words: below minimum'
+    WHEN words = 0 THEN '$.words: below minimum' END AS reason,
+  CAST(to_json({{role: 'assistant', tool_calls: [{{function: {{arguments: arguments, name: 'answer'}}, id: call_id, type: 'function'}}]}}) AS VARCHAR) AS json
+FROM calls
+UNION ALL SELECT conv_id, turn, 'result', call_id, CASE WHEN asked IS NULL THEN 'orphan' WHEN nth > 1 THEN 'repeated' ELSE 'linked' END,
+  CASE WHEN asked IS NOT NULL THEN level END, turn, asked, NULL, CAST(to_json({{content: text, role: 'tool', tool_call_id: call_id}}) AS VARCHAR) FROM results
+UNION ALL SELECT conv_id, turn, 'message', NULL, 'plain', 0, turn, NULL, NULL, CAST(to_json({{content: text, role: role}}) AS VARCHAR)
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
+""")
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn as canonical JSON; a user's turn is a call that the next assistant turn answers."""
+    """Every turn as canonical JSON; a user's turn is a call that the next assistant turn answers, on top of the answers before it."""
     return linked(*from_conversations(_table(spark, sf_dir, "conversations")), ANSWER)
 
 

@@ -2,13 +2,13 @@
 
 Calls and results are hash-joined by conversation and call id, never gathered per conversation: each message stays a row
 of its own, with its place in the order. A call may use the results of other calls (``uses``); a message's level is the
-length of the longest chain before it, found by joining levels forward until none changes. The order of a conversation
-respects these chains and otherwise follows the turns. Arguments are validated against the schema of their tool (type, required,
+length of the longest chain before it, found by rounds of joins in which a call takes over what the calls it uses still wait
+for, so that chains halve in each round. The order of a conversation respects these chains and otherwise follows the turns. Arguments are validated against the schema of their tool (type, required,
 properties, additionalProperties, enum, minimum, maximum, minLength, maxLength, items); texts become canonical JSON:
 sorted keys, no spaces, no escapes beyond those JSON needs.
 
 Defined results: a call without result is ``open``, a result without call ``orphan``, and these are kept; of several calls with
-one id the first turn is the call and the others are ``repeated``, and so for results; a call to an unknown tool,
+one id the first turn is the call (of one turn, that of the smallest digest) and the others are ``repeated``, and so for results; a call to an unknown tool,
 with arguments that are no JSON object, or outside its schema is invalid, with the reason; calls that
 wait for each other are ``cyclic``; null ids never link; null texts are written as null; repeated rows stay rows.
 """
@@ -106,60 +106,95 @@ def _levels(calls: DataFrame, results: DataFrame) -> DataFrame:
 
     Level 0 uses no other call. ``after_call`` is the first turn at which a call may stand: its own, or the largest
     ``after_result`` of what it uses if that is later; ``after_result`` is that of its result.
+
+    In a round, a used call that waits for nothing is settled, and one that waits for a single call is replaced by that
+    call, ``steps`` further on; only calls that wait for several stay. A round that frees no call leaves those that wait
+    for each other.
     """
     keys = ["conv_id", "call_id"]
     nodes = stored(calls.select(*keys, "turn", "uses").join(results.select(*keys, F.col("turn").alias("result_turn")), keys, "left"),
                    "calls-nodes")
     uses = nodes.select(*keys, F.explode("uses").alias("used")).distinct()
-    uses = stored(uses.join(nodes.select("conv_id", F.col("call_id").alias("used")), ["conv_id", "used"]), "calls-uses")
-    turns = nodes.select(*keys, "turn", "result_turn")
-
-    def placed_at(level: DataFrame) -> DataFrame:
-        call = F.greatest("turn", F.coalesce("after", "turn"))
-        return stored(level.join(turns, keys).select(
-            *keys, "level", call.alias("after_call"), F.greatest(call, F.coalesce("result_turn", "turn")).alias("after_result")), "calls-levels")
-
-    free = nodes.select(*keys).join(uses.select(*keys).distinct(), keys, "left_anti")
-    placed = placed_at(free.select(*keys, F.lit(0).alias("level"), F.lit(None).cast("long").alias("after")))
-    waiting = uses.count()
+    uses = stored(uses.join(nodes.select("conv_id", F.col("call_id").alias("used")), ["conv_id", "used"])
+                  .select(*keys, "used", F.lit(1).cast("long").alias("steps")), "calls-uses")
+    own = F.greatest("turn", F.coalesce("result_turn", "turn"))
+    found = nodes.select(*keys, "turn", own.alias("own"), F.lit(0).cast("long").alias("level"), F.lit(None).cast("long").alias("after"))
+    waiting = uses.select(*keys).distinct().count()
+    most = F.lit(nodes.count() if waiting else 0)  # no chain has more steps, only a circle
     while waiting:
-        known = placed.select("conv_id", F.col("call_id").alias("used"), "level", "after_result")
-        ready = (uses.join(placed.select(*keys), keys, "left_anti").join(known, ["conv_id", "used"], "left").groupBy(*keys)
-                 .agg(F.max(F.col("level").isNull()).alias("waits"), (F.max("level") + 1).alias("level"), F.max("after_result").alias("after"))
-                 .where("NOT waits"))
-        ready = placed_at(ready.select(*keys, "level", "after"))
-        if ready.isEmpty():
+        waits = uses.groupBy("conv_id", F.col("call_id").alias("used")).agg(
+            F.count("*").alias("open"), F.first("used").alias("next"), F.first("steps").alias("more"))
+        before = found.select("conv_id", F.col("call_id").alias("used"), F.col("level").alias("base"), F.greatest("own", "after").alias("ready"))
+        passed = F.col("open").isNull() | (F.col("open") == 1)
+        moved = stored(
+            uses.join(before, ["conv_id", "used"]).join(waits, ["conv_id", "used"], "left").select(
+                *keys, F.when(F.col("open") == 1, F.col("next")).when(F.col("open") > 1, F.col("used")).alias("used"),
+                F.least(F.col("steps") + F.when(F.col("open") == 1, F.col("more")).otherwise(0), most).alias("steps"),
+                F.when(passed, F.col("base") + F.col("steps")).alias("level"), F.when(passed, F.col("ready")).alias("after"))
+            .groupBy(*keys, "used").agg(F.max("steps").alias("steps"), F.max("level").alias("level"), F.max("after").alias("after")), "calls-uses")
+        gained = moved.groupBy(*keys).agg(F.max("level").alias("more_level"), F.max("after").alias("more_after"))
+        found = stored(found.join(gained, keys, "left").select(
+            *keys, "turn", "own", F.greatest("level", "more_level").alias("level"), F.greatest("after", "more_after").alias("after")), "calls-levels")
+        uses = moved.where("used IS NOT NULL").select(*keys, "used", "steps")
+        still = uses.select(*keys).distinct().count()
+        if still == waiting:
             break
-        placed = stored(placed.union(ready), "calls-levels")
-    cyclic = uses.join(placed.select(*keys), keys, "left_anti").select(*keys).distinct().join(turns, keys)
-    return placed.withColumn("cyclic", F.lit(False)).union(cyclic.select(
-        *keys, F.lit(None).cast("int"), F.col("turn"), F.greatest("turn", F.coalesce("result_turn", "turn")), F.lit(True)))
+        waiting = still
+    stuck = uses.select(*keys).distinct().withColumn("cyclic", F.lit(True))
+    placed = lambda turn: F.when(F.col("cyclic"), F.col(turn)).otherwise(F.greatest(turn, "after"))
+    return found.join(stuck, keys, "left").withColumn("cyclic", F.coalesce("cyclic", F.lit(False))).select(
+        *keys, F.when(~F.col("cyclic"), F.col("level")).cast("int").alias("level"), placed("turn").alias("after_call"),
+        placed("own").alias("after_result"), "cyclic")
+
+
+def _digested(df: DataFrame, *columns: str) -> DataFrame:
+    """With ``digest``, which tells the different rows of a conversation apart, unless the frame brings one."""
+    if "digest" in df.columns:
+        return df
+    return df.withColumn("digest", F.left(F.md5(F.to_json(F.struct("turn", *columns)).cast("binary")), F.lit(16)))
 
 
 def linked(calls: DataFrame, results: DataFrame, others: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per message, linked and ordered.
 
     ``calls``: conv_id, turn, call_id, name, arguments (JSON text), uses (array of call ids); ``results``: conv_id, turn,
-    call_id, content; ``others``: conv_id, turn, role, text. Returns conv_id, turn, kind, call_id, status, level, order_turn,
+    call_id, content; ``others``: conv_id, turn, role, text. Calls and results may bring a ``digest`` of what tells the
+    different rows of a conversation apart; then a frame that was joined on conv_id and digest moves its texts no more. Returns conv_id, turn, kind, call_id, status, level, order_turn,
     partner_turn, reason and json. Sorted by (order_turn, level, turn), a conversation has every call before its result and after
     the results it uses, and is otherwise in the order of its turns.
     """
-    keys = ["conv_id", "call_id"]
-    nth = Window.partitionBy(*keys).orderBy("turn")
-    numbered = lambda df: df.withColumn("nth", F.when(F.col("call_id").isNotNull(), F.row_number().over(nth)))
-    calls, results = numbered(calls), numbered(results)
-    first = lambda df, name: df.where("nth = 1").select(*keys, F.col("turn").alias("partner_turn"), F.lit(name).alias("found"))
-    status = F.when(F.col("nth") > 1, "repeated").when(F.col("found").isNotNull(), "linked")
-    levels = _levels(calls.where("nth = 1"), results.where("nth = 1"))
-    c = (calls.join(first(results, "result"), keys, "left").join(levels, keys, "left")
-         .select("conv_id", "turn", F.lit("call").alias("kind"), "call_id",
-                 F.when(F.col("cyclic"), "cyclic").otherwise(F.coalesce(status, F.lit("open"))).alias("status"),
-                 (2 * F.col("level")).alias("level"), F.greatest("turn", F.coalesce("after_call", "turn")).alias("order_turn"),
-                 "partner_turn", F.col("name"), F.col("arguments").alias("body")))
-    r = (results.join(first(calls, "call"), keys, "left").join(levels, keys, "left")
-         .select("conv_id", "turn", F.lit("result").alias("kind"), "call_id", F.coalesce(status, F.lit("orphan")).alias("status"),
-                 (2 * F.col("level") + 1).alias("level"), F.greatest("turn", F.coalesce("after_result", "turn")).alias("order_turn"),
-                 "partner_turn", F.lit(None).cast("string").alias("name"), F.col("content").alias("body")))
+    keys, row = ["conv_id", "call_id"], ["conv_id", "digest"]
+    known = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    calls, results = _digested(calls, "call_id", "name", "arguments", "uses"), _digested(results, "call_id", "content")
+
+    def firsts(df: DataFrame, name: str, *more: str) -> DataFrame:
+        first = df.where(known).groupBy(*keys).agg(F.min(F.struct("turn", "digest", *more)).alias("first"))
+        return stored(first.select(*keys, "first.*"), name)
+
+    first_calls, first_results = firsts(calls, "first-calls", "uses"), firsts(results, "first-results")
+    ids = (_levels(first_calls, first_results)
+           .join(first_calls.select(*keys, F.col("turn").alias("call_turn"), F.col("digest").alias("call_digest")), keys)
+           .join(first_results.select(*keys, F.col("turn").alias("result_turn"), F.col("digest").alias("result_digest")), keys, "full"))
+
+    def placed(df: DataFrame, own: str, other: str) -> DataFrame:
+        """The messages with what their call id knows; texts move in this one join. Of equal rows one is the first."""
+        known_of = df.where(known).select(*keys, "digest").join(ids, keys, "left").select(
+            *row, (F.col("digest") == F.col(f"{own}_digest")).alias("is_first"), F.col(f"{other}_digest").isNotNull().alias("found"),
+            F.col(f"{other}_turn").alias("partner_turn"), "level", F.col(f"after_{own}").alias("after"), "cyclic"
+        ).dropDuplicates(row)
+        nth = Window.partitionBy(*row).orderBy("digest")
+        return df.join(known_of, row, "left").withColumn("status", F.when(F.col("is_first").isNotNull(), (
+            F.when(~F.col("is_first") | (F.row_number().over(nth) > 1), "repeated").when(F.col("found"), "linked"))))
+
+    c = placed(calls, "call", "result").select(
+        "conv_id", "turn", F.lit("call").alias("kind"), "call_id",
+        F.when(F.col("cyclic"), "cyclic").otherwise(F.coalesce("status", F.lit("open"))).alias("status"),
+        (2 * F.col("level")).alias("level"), F.greatest("turn", F.coalesce("after", "turn")).alias("order_turn"),
+        "partner_turn", F.col("name"), F.col("arguments").alias("body"))
+    r = placed(results, "result", "call").select(
+        "conv_id", "turn", F.lit("result").alias("kind"), "call_id", F.coalesce("status", F.lit("orphan")).alias("status"),
+        (2 * F.col("level") + 1).alias("level"), F.greatest("turn", F.coalesce("after", "turn")).alias("order_turn"),
+        "partner_turn", F.lit(None).cast("string").alias("name"), F.col("content").alias("body"))
     o = others.select("conv_id", "turn", F.lit("message").alias("kind"), F.lit(None).cast("string").alias("call_id"),
                       F.lit("plain").alias("status"), F.lit(0).alias("level"), F.col("turn").alias("order_turn"),
                       F.lit(None).cast("long").alias("partner_turn"), F.col("role").alias("name"), F.col("text").alias("body"))
@@ -177,20 +212,32 @@ ANSWER = {
 
 
 def from_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Calls, results and other messages of a plain chat: each user turn asks the tool ``answer``, the next assistant turn answers.
+    """Calls, results and other messages of a plain chat: each user turn asks the tool ``answer``, an assistant turn answers.
 
-    An answer's call id is that of the last user turn before it, which a window over the turns of a conversation would
-    find; a turn number and its successor do without one: the id of turn t is t + 1, the answer's own turn.
+    An answer belongs to the last user turn before it, whatever stands between and whatever numbers are left out; without
+    one it has no call id. A call uses the last call before it that was answered, since its question follows on that
+    answer. Both come from running maxima over the turns and roles of a conversation; the texts are joined to them.
     """
     turns = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                          F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    name = lambda t: F.concat(F.lit("call_"), t.cast("string"))
+    name = lambda t: F.concat(F.lit("call_"), F.col(t).cast("string"))
     words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
-    calls = turns.where("role = 'user'").select(
-        "conv_id", "turn", name(F.col("turn") + 1).alias("call_id"), F.lit("answer").alias("name"),
+    ordered = Window.partitionBy("conv_id").orderBy("turn")
+    before, upto = (ordered.rangeBetween(Window.unboundedPreceding, last) for last in (-1, Window.currentRow))
+    spoken = turns.where("role IN ('user', 'assistant')").withColumn(
+        "digest", F.left(F.md5(F.concat_ws(":", "role", "turn", "text").cast("binary")), F.lit(16)))
+    links = stored(
+        spoken.where("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "digest")
+        .agg(F.first("turn").alias("turn"), F.first("role").alias("role"))
+        .withColumn("asked", F.max(F.when(F.col("role") == "user", F.col("turn"))).over(before))
+        .withColumn("used", F.max(F.when(F.col("role") == "assistant", F.col("asked"))).over(upto)), "chat-links")
+    linked_to = lambda role, column: spoken.where(F.col("role") == role).join(
+        links.where(F.col("role") == role).select("conv_id", "digest", column), ["conv_id", "digest"], "left")
+    calls = linked_to("user", "used").select(
+        "conv_id", "turn", name("turn").alias("call_id"), F.lit("answer").alias("name"),
         F.to_json(F.struct(F.col("text").alias("question"), words.alias("words"))).alias("arguments"),
-        F.array().cast("array<string>").alias("uses"))
-    results = turns.where("role = 'assistant'").select(
-        "conv_id", "turn", name(F.col("turn")).alias("call_id"), F.col("text").alias("content"))
+        F.array_compact(F.array(name("used"))).alias("uses"), "digest")
+    results = linked_to("assistant", "asked").select(
+        "conv_id", "turn", name("asked").alias("call_id"), F.col("text").alias("content"), "digest")
     others = turns.where("role IS NULL OR role NOT IN ('user', 'assistant')")
     return calls, results, others

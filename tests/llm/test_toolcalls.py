@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import json
+import random
 
+from airpanel.llm import toolcalls
 from airpanel.llm.toolcalls import ANSWER, canonical, checked, from_conversations, linked, violations
 
 SCHEMAS = {"add": {"properties": {"x": {"type": "integer", "minimum": 0}, "y": {"type": ["number", "null"]}, "tag": {"enum": ["a", "b"]},
@@ -63,3 +65,52 @@ def test_plain_chats(spark):
     by = {(r.conv_id, r.turn): r for r in found}
     assert len(found) == 8 and by[1, 1].status == by[1, 2].status == "linked" and by[1, 1].partner_turn == 2 and by[1, 1].reason is None
     assert by[1, 3].status == "open" and "words" in by[1, 3].reason and by[2, 0].status == "orphan" and by[1, 0].kind == "message"
+
+
+def test_chats_with_gaps_and_turns_between(spark):
+    rows = [(1, 0, "assistant", "hello"), (1, 2, "user", "a b"), (1, 3, "system", "s"), (1, 7, "assistant", "one"), (1, 8, "assistant", "more"),
+            (1, 9, "user", "unanswered"), (1, 12, "user", "c"), (1, 20, "assistant", "two"), (1, 21, "user", "d"), (1, 21, "user", "e"),
+            (1, 30, "assistant", "three"), (1, 31, "user", "f"), (2, 5, "user", "g"), (None, 1, "user", "h"), (None, 1, "user", "h"),
+            (None, 2, "assistant", "i"), (3, None, "user", "j"), (3, None, "assistant", "k")]
+    found = linked(*from_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)), ANSWER).collect()
+    assert len(found) == len(rows)
+    by = {(r.turn, r.kind): (r.status, r.level, r.partner_turn) for r in found if r.conv_id == 1 and r.turn != 21}
+    assert by == {
+        (0, "result"): ("orphan", None, None), (2, "call"): ("linked", 0, 7), (3, "message"): ("plain", 0, None), (7, "result"): ("linked", 1, 2),
+        (8, "result"): ("repeated", 1, 2), (9, "call"): ("open", 2, None), (12, "call"): ("linked", 2, 20), (20, "result"): ("linked", 3, 12),
+        (30, "result"): ("linked", 5, 21), (31, "call"): ("open", 6, None)}
+    assert sorted((r.status, r.level) for r in found if r.turn == 21) == [("linked", 4), ("repeated", 4)]
+    assert {(r.kind, r.status) for r in found if r.conv_id is None or r.turn is None} == {("call", "open"), ("result", "orphan")}
+    assert [r.turn for r in sorted((r for r in found if r.conv_id == 1 and r.level is not None), key=lambda r: (r.order_turn, r.level, r.turn))] == [
+        2, 3, 7, 8, 9, 12, 20, 21, 21, 30, 31]
+
+
+def test_levels_equal_brute_force_and_chains_take_few_rounds(spark, monkeypatch):
+    picked, calls, results, expected = random.Random(7), [], [], {}
+    for conv in range(40):
+        n = picked.randrange(1, 14)
+        uses = {i: sorted({picked.randrange(n) for _ in range(picked.choice((0, 1, 1, 2, 3)))}) for i in range(n)}
+        if conv % 2:  # without circles
+            uses = {i: [u for u in us if u < i] for i, us in uses.items()}
+        turn = {i: picked.randrange(50) for i in range(n)}
+        own = {i: picked.randrange(50) for i in range(n) if picked.random() < 0.7}
+        calls += [(conv, turn[i], f"c{i}", "add", "{}", [f"c{u}" for u in uses[i]]) for i in range(n)]
+        results += [(conv, t, f"c{i}", "x") for i, t in own.items()]
+        done = {}
+        while free := [i for i in range(n) if i not in done and all(u in done for u in uses[i])]:
+            for i in free:
+                level = max((done[u][0] + 1 for u in uses[i]), default=0)
+                start = max([turn[i], *(done[u][2] for u in uses[i])])
+                done[i] = (level, start, max(start, own.get(i, start)))
+        for i in range(n):
+            stuck = (None, turn[i], max(turn[i], own.get(i, turn[i])))
+            expected[conv, f"c{i}"] = (*done.get(i, stuck), i not in done)
+    calls += [(99, i, f"c{i}", "add", "{}", [f"c{i - 1}"] if i else []) for i in range(300)]
+    expected |= {(99, f"c{i}"): (i, i, i, False) for i in range(300)}
+    c, r, _ = frames(spark, calls, results)
+    written = []
+    kept = toolcalls.stored
+    monkeypatch.setattr(toolcalls, "stored", lambda df, name: written.append(name) or kept(df, name))
+    found = toolcalls._levels(c, r).collect()
+    assert len(found) == len(expected) and {tuple(x[:2]): tuple(x[2:]) for x in found} == expected
+    assert written.count("calls-levels") < 20
