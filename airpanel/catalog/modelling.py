@@ -11,6 +11,7 @@ from airpanel.catalog.timeseries import hourly_features
 from airpanel.models import evaluate, explain, linear, trees
 from airpanel.models.evaluate import CELL
 from airpanel.operators import timegrid
+from airpanel.operators.aggregates import correlation
 from airpanel.operators.features import (
     add_hourly_features, daily_frame, daily_training_rows, training_rows)
 from airpanel.operators.relational import candidate_rows, latest_row
@@ -771,7 +772,7 @@ SELECT series_id, feature, abs(value) AS value, CAST(rank AS INTEGER) AS rank FR
   PARTITION BY series_id ORDER BY abs(value) DESC, feature) AS rank FROM co_) WHERE rank <= 10""")
 def v7(t: Tables) -> DataFrame:
     names = [c for c in HOURLY_FEATURES if c not in ("aqi", "day_of_week")]
-    wide = hourly_features(t).groupBy(SERIES).agg(*[F.corr(c, "aqi").alias(c) for c in names])
+    wide = hourly_features(t).groupBy(SERIES).agg(*[correlation(c, "aqi").alias(c) for c in names])
     return serving.importance_top([None, wide.unpivot([SERIES], names, "feature", "value")])
 
 

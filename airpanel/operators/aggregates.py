@@ -20,6 +20,18 @@ def series_stats(df: DataFrame, time: str = "ts", value: str = "aqi") -> DataFra
         F.stddev_samp(value).alias("std"))
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation over the rows that have both; NaN if one of them never varies there, NULL without such rows.
+
+    ``corr`` divides by zero for a column that never varies, which is an error in ANSI mode. Extremes tell such a column:
+    its sum of squares may keep a rest of rounding when partial aggregates are merged.
+    """
+    xs, ys = F.when(F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull(), F.col(y))
+    spread = F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x))
+    fixed = (F.min(xs) == F.max(xs)) | (F.min(ys) == F.max(ys)) | (spread == 0)
+    return F.when(fixed, F.lit(float("nan"))).otherwise(F.regr_sxy(y, x) / spread)
+
+
 # A bucket of values is this part of an octave, so values in [0, 1) spread like others.
 _OCTAVE_PARTS = 1 << 16
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from airpanel.operators.aggregates import _value_bucket, describe
+from airpanel.operators.aggregates import _value_bucket, correlation, describe
 from airpanel.schemas import SERIES
 
 
@@ -27,3 +27,18 @@ def test_value_buckets_keep_the_order(spark):
     got = [r.b for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
            .select("i", _value_bucket(F.col("v")).alias("b")).orderBy("i").collect()]
     assert got == sorted(got)
+
+
+def test_correlation_with_a_column_that_never_varies(spark):
+    rows = [(g, i, float(i), 0.013 + 3 / 7, float(i * i % 5)) for g in ("long", "longer") for i in range(70 if g == "long" else 700)]
+    rows += [("one", 0, 1.0, 2.0, 3.0), ("one", 1, None, 5.0, 6.0), ("none", 0, None, 1.0, 1.0)]
+    # Dealt over tasks, so that partial aggregates are merged.
+    df = spark.createDataFrame(rows, f"{SERIES} STRING, i INT, x DOUBLE, fixed DOUBLE, y DOUBLE").repartition(7, "i")
+    got = {r[SERIES]: r for r in df.groupBy(SERIES).agg(
+        correlation("x", "y").alias("xy"), correlation("fixed", "y").alias("fy"),
+        correlation("x", "fixed").alias("xf")).collect()}
+    for name in ("long", "longer"):
+        x, y = np.array([(r[2], r[4]) for r in rows if r[0] == name]).T
+        assert got[name].xy == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-12)
+        assert np.isnan(got[name].fy) and np.isnan(got[name].xf)
+    assert np.isnan(got["one"].xy) and got["none"].xy is None

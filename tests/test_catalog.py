@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import os
+from datetime import datetime, timedelta
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -58,3 +62,25 @@ def test_unset_work_folder_falls_back_only_in_local_mode(spark):
     from airpanel.session import work_folder
 
     assert work_folder(spark, "x") != work_folder(spark, "x")
+
+
+def test_importance_of_features_that_never_vary(spark, tmp_path):
+    """One user (o3 and no2 never vary), one reading of the index, and a level that never changes."""
+    from check import compare, open_tables
+
+    start, hours = datetime(2024, 1, 4), {"user": 60, "short": 18, "level": 40}
+    rows = [{"event_id": 97 * n + 1 + n % 89, "ts": start + timedelta(hours=i), "user_id": 5, "event_type": name,
+             "value": 50.0 if name == "level" else 10.0 + (i * i * 7) % 61, "props": f'{{"k": {i * 13 % 29}}}'}
+            for k, (name, many) in enumerate(hours.items()) for i in range(many) for n in [100 * k + i]]
+    pq.write_table(pa.Table.from_pylist(rows, pa.schema({
+        "event_id": pa.int64(), "ts": pa.timestamp("us"), "user_id": pa.int64(), "event_type": pa.string(),
+        "value": pa.float64(), "props": pa.string()})), tmp_path / "events.parquet")
+    name = "v7_importance_top10"
+    status, notes = compare(spark, open_tables(str(tmp_path)), str(tmp_path), name)
+    assert status == "ok", notes
+    top = {s: [] for s in hours}
+    for r in queries()[name](spark, str(tmp_path)).orderBy("series_id", "rank").collect():
+        top[r.series_id].append((r.feature, math.nan if r.value is None else r.value))
+    assert [f for f, _ in top["user"][:3]] == ["no2", "o3", "aqi_lag1"]
+    assert [math.isnan(v) for _, v in top["user"]] == [True] * 2 + [False] * 8
+    assert all(math.isnan(v) for s in ("short", "level") for _, v in top[s]) and {len(t) for t in top.values()} == {10}
